@@ -6,25 +6,31 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bytesx import FOLDED, WORD, buffers, mix, runs, segment_hashes, slices
 from .common import Scratch
 from .graph import components
 
-#: Rows of a band. The number of bands follows from the threshold and MISS.
-ROWS = 5
+#: Chance that a pair exactly at the threshold shares one band's rows: few false companions, and not too many bands.
+SHARED = 0.27
 #: Chance that a pair exactly at the threshold shares no band.
 MISS = 1e-6
-#: Members of a bucket that are compared with all others of the bucket in one round; the rest wait for the next round.
-BLOCK = 64
+#: Members of a bucket that are held against all others of the bucket in one round; the rest wait for the next round.
+BLOCK = 1024
+#: Members of a bucket that meet in one task; a larger bucket is dealt to several, each of which has the block.
+DEALT = 1000
 #: Elements of a set whose minima are taken at a time.
 CHUNK = 4096
 
 
-def bands_for(num: int, den: int, rows: int = ROWS) -> int:
-    return math.ceil(math.log(MISS) / math.log(1 - min(num / den, 1 - 1e-12) ** rows))
+def rows_for(num: int, den: int) -> int:
+    return max(1, round(math.log(SHARED) / math.log(min(num / den, 0.999))))
+
+
+def bands_for(num: int, den: int, rows: int) -> int:
+    return math.ceil(math.log(MISS) / math.log(1 - min(num / den, 0.999) ** rows))
 
 
 def shingle_sets(column: pa.Array, words: int):
@@ -78,7 +84,7 @@ SIGNED = "n_shingles long, fp1 long, fp2 long, keys array<long>, sig binary"
 
 
 def signer(words: int, rows: int, bands: int):
-    """For mapInArrow over (id, text): (id, n_shingles, fp1, fp2, keys, sig). fp1 and fp2 are a 128-bit mark of the set; keys has one bucket for each band."""
+    """For mapInArrow over (id, text): (id, n_shingles, fp1, fp2, keys, sig). fp1 and fp2 are a 128-bit mark of the set; keys has one bucket for each band; sig has 8 bits of each minimum."""
 
     def run(batches):
         minima = Minima(rows * bands)
@@ -104,7 +110,7 @@ def signer(words: int, rows: int, bands: int):
                     pa.array(np.array(fp1, np.uint64).view(np.int64)),
                     pa.array(np.array(fp2, np.uint64).view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                    pa.array([r.tobytes() for r in sig], pa.binary()),
+                    pa.array([r.tobytes() for r in sig.astype(np.uint8)], pa.binary()),
                 ],
                 names=["id", "n_shingles", "fp1", "fp2", "keys", "sig"],
             )
@@ -113,16 +119,45 @@ def signer(words: int, rows: int, bands: int):
 
 
 def alike(threshold: float):
-    """For mapInArrow over (a, b, sig_a, sig_b): pairs whose minima agree often enough. Five standard errors below the threshold, so that hardly a true link is lost."""
+    """For mapInArrow over (key, salt, role, id, c, sig), sorted by key, salt and role: pairs (a, b) of one asked row (role 0) and one member (role 1) of a bucket in different components whose minima agree often enough.
+
+    That is five standard errors below the threshold, so that hardly a true link is lost. A bucket's asked rows, BLOCK
+    at most, are held while its members stream by; only likely pairs come out.
+    """
 
     def run(batches):
+        at, ids, comps, sigs = None, [], [], []
         for batch in batches:
-            if batch.num_rows:
-                a, b = (np.frombuffer(buffers(batch.column(k))[0].tobytes(), np.uint32).reshape(batch.num_rows, -1) for k in (2, 3))
-                k = a.shape[1]
-                least = threshold - 5 * math.sqrt(threshold * (1 - threshold) / k)
-                keep = pa.array((a == b).sum(axis=1) >= least * k)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(keep)
+            m = batch.num_rows
+            if not m:
+                continue
+            key, salt, role, c = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 4))
+            own = batch.column(3).to_pylist()
+            raw, offsets = buffers(batch.column(5))
+            sig = raw.reshape(m, -1)
+            k = sig.shape[1]
+            least = (threshold - 5 * math.sqrt(threshold * (1 - threshold) / k)) * k
+            cuts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])))
+            a, b = [], []
+            for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), m]):
+                if (key[i], salt[i]) != at:
+                    at, ids, comps, sigs = (key[i], salt[i]), [], [], []
+                split = i + int(np.searchsorted(role[i:j], 1))
+                if split > i:
+                    ids += own[i:split]
+                    comps += c[i:split].tolist()
+                    sigs.append(sig[i:split].copy())
+                for x in range(split, j, 256):
+                    y = min(j, x + 256)
+                    for h, (hub, comp) in enumerate(zip(ids, comps)):
+                        if h == 0:
+                            block = sigs[0] if len(sigs) == 1 else np.concatenate(sigs)
+                        good = np.flatnonzero(((sig[x:y] == block[h]).sum(axis=1) >= least) & (c[x:y] != comp))
+                        for g in good.tolist():
+                            other = own[x + g]
+                            a.append(min(hub, other))
+                            b.append(max(hub, other))
+            yield pa.RecordBatch.from_arrays([pa.array(a, batch.column(3).type), pa.array(b, batch.column(3).type)], names=["a", "b"])
 
     return run
 
@@ -144,72 +179,88 @@ def linked(words: int, num: int, den: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100, rows: int = ROWS, scratch: Scratch | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, num: int = 80, den: int = 100, scratch: Scratch | None = None) -> DataFrame:
     """One row for each row of docs: id, n_shingles, component_id (least id that it reaches over links), kept.
 
     Two texts are linked when den * |A and B| >= num * |A or B| for their sets of word shingles. Texts with one set
     are one class, found by a 128-bit mark of the set; only the least id of a class goes on, so copies are never
-    expanded into pairs. Classes meet in band buckets. First every class of a bucket is held against the bucket's
-    least; then, as long as a bucket has classes of more than one component, up to BLOCK classes outside its largest
-    component are held against all of the bucket that is not in their component. So no pair of a bucket goes
-    unchecked unless already connected, a round has at most BLOCK pairs for each member, and no cap drops a pair.
+    expanded into pairs. Classes meet in band buckets. In the first round every class of a bucket is held against the
+    bucket's least. In later rounds, of each bucket that has classes of several components, those outside its largest
+    component, up to BLOCK of them, are held against all of the bucket in other components. Signatures are compared as
+    a bucket's rows stream by, so only likely pairs are ever made; they are confirmed on full sets. Rounds end when
+    every pair of a bucket was held together or is connected: no cap drops a pair.
 
     Null texts and texts without words have no shingles and are linked with nothing: component_id is their own id.
     Rows of one id are one node; repeated rows come back as often as they are in docs. A null id takes part in its
     class: component_id is the class's component, or null without another id. Other columns of docs are not used.
-    The order of rows is not defined.
+    The order of rows is not defined. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "near")
     kind = dict(docs.select(F.col(id_col).alias("id")).dtypes)["id"]
+    rows = rows_for(num, den)
     bands = bands_for(num, den, rows)
     read = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = scratch.table(read.mapInArrow(signer(words, rows, bands), f"id {kind}, {SIGNED}"), "signed")
+    full = signed.where("n_shingles > 0 and id is not null")
     classes = scratch.table(signed.where("n_shingles > 0").groupBy("fp1", "fp2").agg(F.min("id").alias("rep")), "classes")
-    of_class = signed.where("n_shingles > 0").select("id", "fp1", "fp2", "keys").join(classes.withColumnRenamed("rep", "id"), ["fp1", "fp2", "id"])
-    members = scratch.table(of_class.select("id", F.explode("keys").alias("key")), "members")
-    shared = members.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top")).where("hub < top").drop("top")
-    live = scratch.table(members.join(shared, "key").distinct(), "live-0")
+    members = full.select("id", "fp1", "fp2", "keys").join(classes.withColumnRenamed("rep", "id"), ["fp1", "fp2", "id"]).select("id", F.explode("keys").alias("key"))
+    members = scratch.table(members, "members")
+    buckets = members.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top"), F.count("*").alias("n")).where("hub < top").select("key", "hub", (F.lit(1) + F.col("n") / DEALT).cast("int").alias("salts"))
+    live = scratch.table(members.join(buckets, "key"), "live-0")
     scratch.drop("members")
-    pairs = live.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    live = live.drop("hub")
-    tested = edges = comp = None
-    k = 0
+    scratch.release()
+    asked = live.where("id = hub").drop("hub").distinct().withColumn("c", F.col("id"))
+    live, comp, tested, edges, done, k = live.drop("hub"), None, None, None, False, 0
+    parts = live.withColumn("c", F.col("id"))
     while True:
+        pairs = _likely(parts, asked, full, num / den, kind)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = scratch.table(pairs, f"pairs-{k}")
-        found = _verify(pairs, read, signed, words, num, den, kind, scratch, k)
+        found = _verify(pairs, read, words, num, den, kind, scratch, k)
         edges = found if edges is None else edges.union(found)
         tested = pairs if tested is None else tested.union(pairs)
-        comp = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch, f"cc{k}")
+        if k == 0 or not found.isEmpty():
+            comp = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch, f"cc{k}")
+        if done:
+            break
         k += 1
-        parts = live.join(comp.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("c"))
+        parts = live.join(comp.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", "salts", F.coalesce("component", "id").alias("c"))
         sizes = parts.groupBy("key", "c").agg(F.count("*").alias("n"))
-        split = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max(F.struct("n", "c")).alias("most")).where("parts > 1").select("key", F.col("most.c").alias("largest"))
-        live = scratch.table(parts.join(split, "key"), f"live-{k}")
-        if live.isEmpty():
+        split = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "c")).alias("most")).where("parts > 1").select("key", F.col("most.c").alias("largest"), (F.col("all") - F.col("most.n")).alias("others"))
+        parts = scratch.table(parts.join(split, "key"), f"parts-{k}")
+        most = parts.agg(F.max("others")).first()[0]
+        if not most:
             break
-        from pyspark.sql import Window
-
-        asked = live.where("c <> largest").withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("rank") <= BLOCK)
-        asked = scratch.table(asked.select("key", F.col("id").alias("h"), F.col("c").alias("hc")), f"asked-{k}")
-        against = live.join(asked, "key").where("hc <> c")
-        pairs = against.select(F.least("h", "id").alias("a"), F.greatest("h", "id").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-        live = live.select("key", "id").join(asked.select("key", F.col("h").alias("id")), ["key", "id"], "left_anti")
+        # All pairs of different components are held together in this round, unless a bucket has more to ask than a block.
+        done = most <= BLOCK
+        asked = parts.where("c <> largest")
+        if not done:
+            asked = asked.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("rank") <= BLOCK)
+        asked = scratch.table(asked.select("key", "id", "salts", "c"), f"asked-{k}")
+        if not done:
+            live = scratch.table(parts.select("key", "id", "salts").join(asked.select("key", "id"), ["key", "id"], "left_anti"), f"live-{k}")
     of = classes.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").select("fp1", "fp2", F.coalesce("component", "rep").alias("component"))
     out = signed.select("id", "n_shingles", "fp1", "fp2").join(of, ["fp1", "fp2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def _verify(pairs: DataFrame, read: DataFrame, signed: DataFrame, words: int, num: int, den: int, kind: str, scratch: Scratch, k: int) -> DataFrame:
-    """The pairs (a, b) that are linked: first by their signatures, then on full sets. Only texts that are still in a pair are joined."""
-    sig = signed.where("n_shingles > 0").select("id", "sig")
-    with_a = pairs.join(sig.select(F.col("id").alias("a"), F.col("sig").alias("sig_a")), "a")
-    both = with_a.join(sig.select(F.col("id").alias("b"), F.col("sig").alias("sig_b")), "b").select("a", "b", "sig_a", "sig_b")
-    likely = scratch.table(both.mapInArrow(alike(num / den), f"a {kind}, b {kind}"), f"likely-{k}")
-    wanted = likely.select(F.col("a").alias("id")).union(likely.select("b")).distinct()
+def _likely(parts: DataFrame, asked: DataFrame, full: DataFrame, threshold: float, kind: str) -> DataFrame:
+    """Likely pairs (a, b) of asked rows and members of their buckets. Asked rows go to each of a large bucket's tasks."""
+    to = asked.select("key", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).cast("byte").alias("role"), "id", F.xxhash64("c").alias("c"))
+    by = parts.select("key", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(1).cast("byte").alias("role"), "id", F.xxhash64("c").alias("c"))
+    met = to.union(by).join(full.select("id", "sig"), "id").select("key", "salt", "role", "id", "c", "sig")
+    dealt = met.repartition("key", "salt").sortWithinPartitions("key", "salt", "role")
+    return dealt.mapInArrow(alike(threshold), f"a {kind}, b {kind}").where("a <> b").distinct()
+
+
+def _verify(pairs: DataFrame, read: DataFrame, words: int, num: int, den: int, kind: str, scratch: Scratch, k: int) -> DataFrame:
+    """The pairs (a, b) that are linked by their full sets. Only texts that are in a pair are joined."""
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
     texts = scratch.table(read.join(wanted, "id", "left_semi"), f"texts-{k}")
-    with_b = likely.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    with_b = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     full = with_b.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
     found = scratch.table(full.mapInArrow(linked(words, num, den), f"a {kind}, b {kind}"), f"found-{k}")
     scratch.drop(f"texts-{k}")
