@@ -70,7 +70,7 @@ def task_from_root(names: list[Column], known: dict[str, str], default: str) ->
 
 def task_from_instructions(arrays: list[Column], *rest: Column) -> Column:
     """The first text that is not blank over the arrays in turn, else the further choices."""
-    return F.coalesce(*[F.get(F.filter(F.transform(a, F.trim), lambda x: x != ""), 0) for a in arrays], *rest)
+    return F.coalesce(*[F.get(F.filter(F.transform(a, lambda x: F.trim(x)), lambda x: x != ""), 0) for a in arrays], *rest)
 
 
 def override(value: Column, given: str | None) -> Column:
@@ -121,7 +121,7 @@ def inclusive_end(start: Column, end: Column) -> Column:
 
 def event_tags(tags: Column) -> Column:
     """Trimmed tags without blanks; the default where none is left."""
-    clean = F.filter(F.transform(tags, F.trim), lambda x: x != "")
+    clean = F.filter(F.transform(tags, lambda x: F.trim(x)), lambda x: x != "")
     return F.when(F.coalesce(F.size(clean), F.lit(0)) <= 0, F.array(F.lit(DEFAULT_EVENT))).otherwise(clean)
 
 

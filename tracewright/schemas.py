@@ -1,38 +1,49 @@
-"""Canonical tables of the episode model."""
+"""Canonical tables of the episode model, as schema strings."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Enumerations.
 CONTROL_MODES = ["joint", "ee", "unknown"]
 DOMAINS = ["real", "sim"]
 CAMERAS = ["cam_high", "cam_left_wrist", "cam_right_wrist", "cam_low"]
 
-FRAMES = T.StructType.fromDDL(
+FRAMES = (
     "episode_index BIGINT, frame_index BIGINT, timestamp DOUBLE, `observation.state` ARRAY<FLOAT>, action ARRAY<FLOAT>, "
     "`observation.qvel` ARRAY<FLOAT>, `observation.effort` ARRAY<FLOAT>, action_relative ARRAY<FLOAT>, task STRING, subtask STRING, "
     "robot_type STRING, source_dataset STRING, control_mode STRING, quality INT, speed_bin INT, mistake BOOLEAN, success BOOLEAN, domain STRING"
 )
-EPISODES = T.StructType.fromDDL(
+EPISODES = (
     "episode_index BIGINT, source_file STRING, parquet_path STRING, task STRING, robot_type STRING, control_mode STRING, num_frames BIGINT, "
     "fps INT, duration_sec DOUBLE, speed_bin INT, quality INT, success BOOLEAN, mistake BOOLEAN, source_dataset STRING, video_paths MAP<STRING,STRING>"
 )
-SEGMENTS = T.StructType.fromDDL("episode_index BIGINT, segment_index BIGINT, start_frame BIGINT, end_frame BIGINT, task STRING, subtask STRING, annotation_status STRING")
-MEMORY = T.StructType.fromDDL(
+SEGMENTS = ("episode_index BIGINT, segment_index BIGINT, start_frame BIGINT, end_frame BIGINT, task STRING, subtask STRING, annotation_status STRING")
+MEMORY = (
     "episode_index BIGINT, segment_index BIGINT, start_frame BIGINT, end_frame BIGINT, start_timestamp DOUBLE, end_timestamp DOUBLE, task STRING, "
     "summary STRING, change_event_type ARRAY<STRING>, evidence_start_frame BIGINT, evidence_end_frame BIGINT, annotation_status STRING"
 )
-WINDOW_RESULTS = T.StructType.fromDDL("task_id STRING, window_id INT, vlm_json STRING")
-HUMAN_VIDEO = T.StructType.fromDDL("sample_id STRING, video STRUCT<path: STRING, frame_index: BIGINT>, task STRING, objects ARRAY<STRING>, annotation_status STRING")
-WEB_MULTIMODAL = T.StructType.fromDDL("sample_id STRING, modality STRING, task_type STRING, source_url STRING, text STRING, object_boxes ARRAY<STRUCT<object: STRING, bbox: ARRAY<DOUBLE>>>, attributes MAP<STRING,STRING>")
-SOURCES = T.StructType.fromDDL("name STRING, robot_type STRING, fps INT, control_mode STRING, aliases ARRAY<STRING>")
+WINDOW_RESULTS = ("task_id STRING, window_id INT, vlm_json STRING")
+HUMAN_VIDEO = ("sample_id STRING, video STRUCT<path: STRING, frame_index: BIGINT>, task STRING, objects ARRAY<STRING>, annotation_status STRING")
+WEB_MULTIMODAL = ("sample_id STRING, modality STRING, task_type STRING, source_url STRING, text STRING, object_boxes ARRAY<STRUCT<object: STRING, bbox: ARRAY<DOUBLE>>>, attributes MAP<STRING,STRING>")
+SOURCES = ("name STRING, robot_type STRING, fps INT, control_mode STRING, aliases ARRAY<STRING>")
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+def fields(schema: str) -> list[tuple[str, str]]:
+    """(name, type) of the columns of one of the schemas above."""
+    out, depth, at = [], 0, 0
+    for k, c in enumerate(schema + ","):
+        depth += (c in "<(") - (c in ">)")
+        if c == "," and not depth:
+            name, _, kind = schema[at:k].strip().partition(" ")
+            out.append((name.strip("`"), kind))
+            at = k + 1
+    return out
+
+
+def conform(df: DataFrame, schema: str) -> DataFrame:
     """df with the schema's columns and types; absent ones are null, others follow."""
-    known = {f.name for f in schema.fields}
-    cols = [(F.col(f"`{f.name}`") if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
-    return df.select(*cols, *[F.col(f"`{c}`") for c in df.columns if c not in known])
+    known = fields(schema)
+    cols = [(F.col(f"`{n}`") if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in known]
+    return df.select(*cols, *[F.col(f"`{c}`") for c in df.columns if c not in dict(known)])

@@ -6,7 +6,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def droid_parquet(spark: SparkSession, root: str) -> DataFrame:
@@ -22,7 +21,7 @@ def dataset_fps(spark: SparkSession, root: str, default: int = 15) -> int:
     return int(row.select("fps").first()[0] or default) if "fps" in row.columns else default
 
 
-def json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
