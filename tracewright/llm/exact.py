@@ -38,7 +38,7 @@ def block_identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Fixed-size blocks get integer names by content, adjacent names are paired and pairs named again, until one name is
     left; an odd last name is paired with -1. A name stands for one sequence of blocks, so identities cannot collide:
     no hash decides. (sha, the digest of the normalised text, only tells rows of one id apart.) Each level is written,
-    so that names never change when an executor is lost.
+    so that names never change when an executor is lost. Repeated rows of a long text go on together, as often as they are.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "exact")
@@ -62,7 +62,7 @@ def block_identities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         even = F.col("idx") % 2 == 0
         pairs = rest.groupBy("id", "sha", "chars", "n", F.expr("idx div 2").cast("int").alias("half")).agg(F.max(F.when(even, F.col("name"))).alias("a"), F.coalesce(F.max(F.when(~even, F.col("name"))), F.lit(-1)).alias("b"), F.count_if(even).alias("rows"))
         named = _named(pairs, ["a", "b"]).select("id", "sha", "chars", F.expr("(n + 1) div 2").cast("int").alias("n"), F.col("half").alias("idx"), "name", "rows")
-        now = scratch.table(named.withColumn("_r", F.explode(F.sequence(F.lit(1), F.when(F.col("n") == 1, F.col("rows")).otherwise(1).cast("int")))).drop("_r", "rows"), f"level-{level}")
+        now = scratch.table(named.withColumn("_r", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int")))).drop("_r", "rows"), f"level-{level}")
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK, scratch: Scratch | None = None) -> DataFrame:

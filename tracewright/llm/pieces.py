@@ -153,7 +153,7 @@ class Model:
             u = " " + u if k == 0 else u
             got = self.known.get(u)
             if got is None:
-                got = self.known[u] = self.library.encode(u[1:])
+                got = self.known[u] = self.library.encode(u[1:]) if u != " " else [self.library.piece_to_id("▁")]
             out += got
         return out
 
