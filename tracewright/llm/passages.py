@@ -126,8 +126,8 @@ def phrases(length: int):
                         pa.array(mix(x + off.astype(np.uint64)).view(np.int64)),
                         batch.column(0).take(of),
                         batch.column(1).take(of),
-                        pa.array(first + base),
-                        pa.array(last + base),
+                        pa.array((first + base).astype(np.int32)),
+                        pa.array((last + base).astype(np.int32)),
                     ],
                     names=["g", "x", "id", "tkey", "first", "last"],
                 )
@@ -158,7 +158,7 @@ def suffixes(length: int):
                     s = mix(h.of(starts - a, starts - a + length) + np.repeat(g[i:j].view(np.uint64), sizes))
                     of = pa.array(np.full(len(starts), row))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(s.view(np.int64)), batch.column(0).take(of), batch.column(1).take(of), pa.array(starts)], names=["s", "id", "tkey", "first"]
+                        [pa.array(s.view(np.int64)), batch.column(0).take(of), batch.column(1).take(of), pa.array(starts.astype(np.int32))], names=["s", "id", "tkey", "first"]
                     )
                     i = j
 
@@ -187,26 +187,30 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch = scratch or Scratch(spark, "passages")
     kind = dict(docs.select(F.col(id_col).alias("id")).dtypes)["id"]
     read = keyed(docs, id_col, text_col)
-    parsed = scratch.table(read.where(F.octet_length("text") >= length).mapInArrow(phrases(length), f"g long, x long, id {kind}, tkey long, first long, last long"), "parse")
-    counted = parsed.groupBy("g", "x").agg(F.count("*").alias("n"), F.min(F.struct("id", "tkey", "first")).alias("one"))
+    parsed = scratch.table(read.where(F.octet_length("text") >= length).mapInArrow(phrases(length), f"g long, x long, id {kind}, tkey long, first int, last int"), "parse")
+    # A phrase's first place, as one integer: two places of one hash would only give the phrase's suffixes twice.
+    place = F.xxhash64("id", "tkey", "first")
+    counted = parsed.groupBy("g", "x").agg(F.count("*").alias("n"), F.min(place).alias("one"))
     words = scratch.table(counted, "words")
     several = words.groupBy("g").agg(F.count("*").alias("forms"), F.sum("n").alias("total")).where("total > 1")
     dictionary = scratch.table(words.join(several, "g").select("g", "x", "n", "forms", "one"), "dictionary")
     scratch.drop("words")
+    scratch.release()
     placed = scratch.table(parsed.join(dictionary, ["g", "x"]), "placed")
     scratch.drop("parse")
     scratch.release()
     sure = placed.where("n > 1").select("id", "tkey", "first", "last")
-    here = F.struct("id", "tkey", "first").eqNullSafe(F.col("one"))
-    asked = placed.where((F.col("forms") > 1) & here).groupBy("id", "tkey").agg(F.collect_set(F.struct("g", "first", "last")).alias("asked"))
+    asked = placed.where((F.col("forms") > 1) & (place == F.col("one"))).groupBy("id", "tkey").agg(F.collect_set(F.struct("g", "first", "last")).alias("asked"))
     asked = asked.select(F.col("id").alias("kid"), F.col("tkey").alias("kkey"), "asked")
     with_text = asked.join(read, (F.col("tkey") == F.col("kkey")) & F.col("id").eqNullSafe(F.col("kid"))).dropDuplicates(["id", "tkey"]).select("id", "tkey", "text", "asked")
-    ends = scratch.table(with_text.mapInArrow(suffixes(length), f"s long, id {kind}, tkey long, first long"), "suffixes")
-    common = ends.groupBy("s").agg(F.count("*").alias("n")).where("n > 1").select("s")
+    ends = scratch.table(with_text.mapInArrow(suffixes(length), f"s long, id {kind}, tkey long, first int"), "suffixes")
+    scratch.release()
+    common = scratch.table(ends.groupBy("s").agg(F.count("*").alias("n")).where("n > 1").select("s"), "common")
+    scratch.release()
     partly = ends.join(common, "s", "left_semi").select("id", "tkey", "first", F.col("first").alias("last"))
     spans = sure.union(partly).groupBy("id", "tkey").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("spans"))
     out = scratch.table(spans, "spans")
-    for name in ("suffixes", "placed", "dictionary"):
+    for name in ("suffixes", "common", "placed", "dictionary"):
         scratch.drop(name)
     scratch.release()
     return out
