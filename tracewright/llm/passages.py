@@ -203,14 +203,15 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     asked = placed.where((F.col("forms") > 1) & (place == F.col("one"))).groupBy("id", "tkey").agg(F.collect_set(F.struct("g", "first", "last")).alias("asked"))
     asked = asked.select(F.col("id").alias("kid"), F.col("tkey").alias("kkey"), "asked")
     with_text = asked.join(read, (F.col("tkey") == F.col("kkey")) & F.col("id").eqNullSafe(F.col("kid"))).dropDuplicates(["id", "tkey"]).select("id", "tkey", "text", "asked")
-    ends = scratch.table(with_text.mapInArrow(suffixes(length), f"s long, id {kind}, tkey long, first int"), "suffixes")
+    # The suffixes are made twice, once to count them and once to place the common ones: kept, they would be the largest table of all.
+    ends = scratch.table(with_text, "asked").mapInArrow(suffixes(length), f"s long, id {kind}, tkey long, first int")
     scratch.release()
     common = scratch.table(ends.groupBy("s").agg(F.count("*").alias("n")).where("n > 1").select("s"), "common")
     scratch.release()
     partly = ends.join(common, "s", "left_semi").select("id", "tkey", "first", F.col("first").alias("last"))
     spans = sure.union(partly).groupBy("id", "tkey").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("spans"))
     out = scratch.table(spans, "spans")
-    for name in ("suffixes", "common", "placed", "dictionary"):
+    for name in ("asked", "common", "placed", "dictionary"):
         scratch.drop(name)
     scratch.release()
     return out
