@@ -198,6 +198,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch.release()
     placed = scratch.table(parsed.join(dictionary, ["g", "x"]), "placed")
     scratch.drop("parse")
+    scratch.drop("dictionary")
     scratch.release()
     sure = placed.where("n > 1").select("id", "tkey", "first", "last")
     asked = placed.where((F.col("forms") > 1) & (place == F.col("one"))).groupBy("id", "tkey").agg(F.collect_set(F.struct("g", "first", "last")).alias("asked"))
@@ -211,7 +212,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     partly = ends.join(common, "s", "left_semi").select("id", "tkey", "first", F.col("first").alias("last"))
     spans = sure.union(partly).groupBy("id", "tkey").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("spans"))
     out = scratch.table(spans, "spans")
-    for name in ("asked", "common", "placed", "dictionary"):
+    for name in ("asked", "common", "placed"):
         scratch.drop(name)
     scratch.release()
     return out
