@@ -49,20 +49,24 @@ def candidates(text: str, spans: list) -> list[tuple[int, int, str]]:
 
 
 SPAN = "struct<start: long, kind: int, end: long, value: string>"
+#: An everyday word; a text's first is its share of the background.
+EVERYDAY = re.compile(r"[^\W\d_]{4,}")
 
 
 def scanned(batches):
-    """For mapInArrow over (id, text, ...): (id, base, found, ...): base spans and candidates; further columns stay."""
+    """For mapInArrow over (id, text, ...): (id, base, found, word, ...): base spans, candidates, an everyday word; further columns stay."""
     for batch in batches:
-        base, found = [], []
+        base, found, words = [], [], []
         for text in batch.column(1):
             t = text.as_py() or ""
             spans = base_spans(t)
             base.append([dict(zip(("start", "kind", "end", "value"), s)) for s in spans])
             found.append([{"start": a, "end": b, "value": v} for a, b, v in candidates(t, spans)])
+            first = EVERYDAY.search(t)
+            words.append(first and first[0])
         span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("value", pa.string())])
         cand = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())])
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, pa.list_(span)), pa.array(found, pa.list_(cand)), *batch.columns[2:]], names=["id", "base", "found", *batch.schema.names[2:]])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, pa.list_(span)), pa.array(found, pa.list_(cand)), pa.array(words, pa.string()), *batch.columns[2:]], names=["id", "base", "found", "word", *batch.schema.names[2:]])
 
 
 class Grammars:
@@ -86,7 +90,7 @@ class Grammars:
 
 
 def decided(grammars: Grammars):
-    """For mapInArrow over (id, base, found, ...): (id, spans, ...): base spans and the candidates that a grammar holds."""
+    """For mapInArrow over (id, base, found, word, ...): (id, spans, ...): base spans and the candidates that a grammar holds."""
 
     def run(batches):
         memo: dict[str, bool] = {}
@@ -104,12 +108,12 @@ def decided(grammars: Grammars):
                         spans.append((c["start"], 3, c["end"]))
                 out.append([dict(zip(("start", "kind", "end"), s)) for s in sorted(spans)])
             kind = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(kind)), *batch.columns[3:]], names=["id", "spans", *batch.schema.names[3:]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(kind)), *batch.columns[4:]], names=["id", "spans", *batch.schema.names[4:]])
 
     return run
 
 
-def train(scan: DataFrame, docs_words: DataFrame, sample: int = SAMPLE) -> Grammars:
+def train(scan: DataFrame, sample: int = SAMPLE) -> Grammars:
     """Grammars from at most `sample` different labelled credentials of each kind and as many everyday words, each the first in order of hashes, so that the sample does not depend on partitions."""
     values = scan.select(F.explode("base").alias("b")).select("b.kind", "b.value").distinct()
     labelled = {}
@@ -117,7 +121,7 @@ def train(scan: DataFrame, docs_words: DataFrame, sample: int = SAMPLE) -> Gramm
         rows = values.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(sample).collect()
         if rows:
             labelled[kind] = [r.value for r in rows]
-    words = [r.word for r in docs_words.distinct().orderBy(F.xxhash64("word"), "word").limit(sample).collect()]
+    words = [r.word for r in scan.select("word").where("word is not null").distinct().orderBy(F.xxhash64("word"), "word").limit(sample).collect()]
     return Grammars(labelled, words)
 
 
@@ -137,10 +141,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(carry)])
     types = dict(rows.dtypes)
     more = "".join(f", c{k} {types[f'c{k}']}" for k in range(len(carry)))
-    scan = scratch.table(rows.mapInArrow(scanned, f"id {types['id']}, base array<{SPAN}>, found array<struct<start: long, end: long, value: string>>{more}"), "scan")
-    # The background: the longest everyday word of each 50th text by hash, a bounded sample in the end.
-    words = rows.where(F.pmod(F.xxhash64("text"), F.lit(50)) == 0).select(F.regexp_extract("text", r"([\p{L}]{4,})", 1).alias("word")).where("word <> ''")
-    grammars = train(scan, words, sample)
+    scan = scratch.table(rows.mapInArrow(scanned, f"id {types['id']}, base array<{SPAN}>, found array<struct<start: long, end: long, value: string>>, word string{more}"), "scan")
+    grammars = train(scan, sample)
     out = scan.mapInArrow(decided(grammars), f"id {types['id']}, spans array<struct<start: long, kind: int, end: long>>{more}")
     return out.withColumnsRenamed({"id": id_col} | {f"c{k}": c for k, c in enumerate(carry)})
 
