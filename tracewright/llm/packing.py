@@ -124,11 +124,11 @@ def cut_pieces(tokenizer: str, end_id: int, capacity: int):
     """For mapInArrow over (id, text): (id, piece, start, length, ids_crc32). A text of over `capacity` ids is cut; its first piece takes what is left over from whole ones."""
 
     def run(batches):
-        encode = encoder(tokenizer).encode
+        texts = encoder(tokenizer).texts
         for batch in batches:
             rows, cols = [], [[], [], [], []]
-            for row, text in enumerate(batch.column(1)):
-                ids = np.append(encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
+            for row, got in enumerate(texts(batch.column(1))):
+                ids = np.append(got, np.uint32(end_id)).astype("<u4")
                 first = len(ids) % capacity or capacity
                 cuts = [0, *range(first, len(ids) + 1, capacity)]
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
@@ -189,10 +189,10 @@ def piece_ids(tokenizer: str, end_id: int, capacity: int):
     """For mapInArrow over (id, text): (id, piece, ids)."""
 
     def run(batches):
-        encode = encoder(tokenizer).encode
+        texts = encoder(tokenizer).texts
         for batch in batches:
-            for row, text in enumerate(batch.column(1)):
-                ids = np.append(encode(text.as_py() or ""), np.uint32(end_id)).astype(np.int32)
+            for row, got in enumerate(texts(batch.column(1))):
+                ids = np.append(got, np.uint32(end_id)).astype(np.int32)
                 first = len(ids) % capacity or capacity
                 parts = np.split(ids, range(first, len(ids), capacity))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([row] * len(parts))), pa.array(range(len(parts)), pa.int32()), pa.array([p.tolist() for p in parts], pa.list_(pa.int32()))], names=["id", "piece", "ids"])

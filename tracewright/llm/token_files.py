@@ -30,14 +30,14 @@ def shard_writer(folder: str, tokenizer: str, end_id: int):
     def run(batches):
         fs, path = _filesystem(folder)
         name = f"{uuid.uuid4().hex}.sst"
-        encode, writer, out, first, last = encoder(tokenizer).encode, None, None, None, None
+        texts, writer, out, first, last = encoder(tokenizer).texts, None, None, None, None
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for key, got in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
                 if writer is None:
                     fs.create_dir(path, recursive=True)
                     out = fs.open_output_stream(f"{path}/{name}")
                     writer = Writer(out)
-                ids = np.append(encode(text.as_py() or ""), np.uint32(end_id))
+                ids = np.append(got, np.uint32(end_id))
                 wide = ids.max() > 0xFFFF
                 last = int_key(key)
                 first = first if first is not None else last

@@ -5,16 +5,24 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+
+from .bytesx import buffers, slices
 
 #: Pieces whose ids a worker keeps; beyond that it starts anew.
 KEPT = 600_000
 #: A piece: spaces or line feeds, then all up to the next space or line feed.
-PIECE = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+SPACE = np.isin(np.arange(256), [0x20, 0x0A])
 #: White space by any library's rules, but for spaces and line feeds: texts with these are encoded whole.
 ODD_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85᠎​﻿]")
 
+#: Bytes that any odd white space begins with.
+MAYBE_ODD = np.isin(np.arange(256), [0x09, 0x0B, 0x0C, 0x0D, *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3, 0xEF]).astype(np.int64)
+NONE = np.zeros(0, np.uint32)
+
 
 def _cuts_at_space(spec: dict) -> bool:
     """Whether the pre-tokenizer never takes white space after other characters into one word, so that pieces can be encoded alone."""
@@ -48,32 +56,62 @@ class Encoder:
         self.starts, self.sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
 
     def _learn(self, new: list[str]) -> None:
-        for word, got in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            k, n = len(self.index), len(got.ids)
-            if k >= len(self.starts):
-                self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
-            while self.used + n > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used : self.used + n] = got.ids
-            self.starts[k], self.sizes[k] = self.used, n
-            self.used += n
-            self.index[word] = k
-
-    def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, np.uint32)
-        if not self.pieces or ODD_SPACE.search(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-        words = PIECE.findall(text)
+        lists = [got.ids for got in self.library.encode_batch_fast(new, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+        k, n, m = len(self.index), len(lists), int(sizes.sum())
+        while k + n > len(self.starts):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+        while self.used + m > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + m] = np.fromiter(chain.from_iterable(lists), np.uint32, m)
+        self.starts[k : k + n] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[k : k + n] = sizes
+        self.used += m
+        self.index.update(zip(new, range(k, k + n)))
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """Numbers of different pieces; new ones are encoded."""
         if len(self.index) > KEPT:
             self._clear()
-        new = [w for w in dict.fromkeys(words) if w not in self.index]
-        if new:
-            self._learn(new)
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        return self.ids[np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(int(ends[-1]))]
+        out = np.fromiter((self.index.get(w, -1) for w in words), np.int64, len(words))
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            out[new] = np.arange(len(self.index), len(self.index) + len(new))
+            self._learn([words[i] for i in new.tolist()])
+        return out
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def texts(self, column: pa.Array):
+        """The ids of each text of a column, in order; null is empty."""
+        data, offsets = buffers(column)
+        for i, j in slices(offsets):
+            at = offsets[i : j + 1] - offsets[i]
+            text = data[offsets[i] : offsets[j]]
+            odd = np.add.reduceat(np.append(MAYBE_ODD[text], 0), at[:-1]) * (np.diff(at) > 0) if self.pieces else np.diff(at)
+            if not self.pieces or len(text) == 0:
+                yield from (self._whole(column[i + d].as_py()) if odd[d] else NONE for d in range(j - i))
+                continue
+            space = SPACE[text]
+            cuts = np.zeros(len(text) + 1, bool)
+            cuts[1:-1] = space[1:] & ~space[:-1]
+            cuts[at] = True
+            bounds = np.flatnonzero(cuts).astype(np.int32)
+            coded = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(text))).dictionary_encode()
+            number = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+            sizes = self.sizes[number]
+            ends = np.cumsum(sizes)
+            ids = self.ids[np.repeat(self.starts[number] - ends + sizes, sizes) + np.arange(int(ends[-1]))]
+            own = np.append(0, ends)[np.searchsorted(bounds, at)].tolist()
+            for d in range(j - i):
+                if odd[d] and ODD_SPACE.search(t := column[i + d].as_py()):
+                    yield self._whole(t)
+                else:
+                    yield ids[own[d] : own[d + 1]]
+
+    def encode(self, text: str) -> np.ndarray:
+        return next(self.texts(pa.array([text], pa.string())))
 
 
 _encoders: dict[str, Encoder] = {}
