@@ -13,7 +13,7 @@ import pyarrow as pa
 from .bytesx import buffers, slices
 
 #: Pieces whose ids a worker keeps; beyond that it starts anew.
-KEPT = 600_000
+KEPT = 1_200_000
 #: A piece: spaces or line feeds, then all up to the next space or line feed.
 SPACE = np.isin(np.arange(256), [0x20, 0x0A])
 #: White space by any library's rules, but for spaces and line feeds: texts with these are encoded whole.
