@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import math
 
 import numpy as np
@@ -19,6 +20,8 @@ SHARED = 0.27
 MISS = 1e-6
 #: Members of a bucket that are held against all others of the bucket in one round; the rest wait for the next round.
 BLOCK = 1024
+#: Likely partners by agreement that an asked row is verified with in one round; where more are left, the next round takes the next figure.
+PARTNERS = (4, 64, 2**31 - 1)
 #: Members of a bucket that meet in one task; a larger bucket is dealt to several, each of which has the block.
 DEALT = 1000
 #: Elements of a set whose minima are taken at a time.
@@ -80,11 +83,30 @@ class Minima:
         return out
 
 
+def packed(sig: np.ndarray) -> np.ndarray:
+    """The lowest 4 bits of each value, two to a byte; an odd last one has a byte of its own."""
+    low = (sig & np.uint32(15)).astype(np.uint8)
+    if low.shape[1] % 2:
+        low = np.pad(low, ((0, 0), (0, 1)))
+    return low[:, ::2] | low[:, 1::2] << 4
+
+
+def unpacked(column: pa.Array, k: int) -> np.ndarray:
+    """The k values of 4 bits in each row of a column that packed() made."""
+    raw = buffers(column)[0].reshape(len(column), -1)
+    return np.stack([raw & 15, raw >> 4], axis=2).reshape(len(column), -1)[:, :k]
+
+
+def least_agreement(threshold: float, k: int) -> float:
+    """Of k minima, those that a pair at the threshold has in common but for five standard errors, so that hardly a true link is lost."""
+    return (threshold - 5 * math.sqrt(threshold * (1 - threshold) / k)) * k
+
+
 SIGNED = "n_shingles long, fp1 long, fp2 long, keys array<long>, sig binary"
 
 
 def signer(words: int, rows: int, bands: int):
-    """For mapInArrow over (id, text): (id, n_shingles, fp1, fp2, keys, sig). fp1 and fp2 are a 128-bit mark of the set; keys has one bucket for each band; sig has 8 bits of each minimum."""
+    """For mapInArrow over (id, text): (id, n_shingles, fp1, fp2, keys, sig). fp1 and fp2 are a 128-bit mark of the set; keys has one bucket for each band; sig has 4 bits of each minimum."""
 
     def run(batches):
         minima = Minima(rows * bands)
@@ -110,7 +132,7 @@ def signer(words: int, rows: int, bands: int):
                     pa.array(np.array(fp1, np.uint64).view(np.int64)),
                     pa.array(np.array(fp2, np.uint64).view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                    pa.array([r.tobytes() for r in sig.astype(np.uint8)], pa.binary()),
+                    pa.array([r.tobytes() for r in packed(sig)], pa.binary()),
                 ],
                 names=["id", "n_shingles", "fp1", "fp2", "keys", "sig"],
             )
@@ -118,50 +140,79 @@ def signer(words: int, rows: int, bands: int):
     return run
 
 
-def alike(threshold: float):
-    """For mapInArrow over (key, salt, role, id, c, sig), sorted by key, salt and role: pairs (a, b) of one asked row (role 0) and one member (role 1) of a bucket in different components whose minima agree often enough.
+def agreeing(threshold: float, k: int):
+    """For mapInArrow over (a, b, sig_a, sig_b): the pairs whose minima agree often enough."""
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                same = (unpacked(batch.column(2), k) == unpacked(batch.column(3), k)).sum(axis=1)
+                yield batch.select([0, 1]).filter(pa.array(same >= least_agreement(threshold, k)))
+
+    return run
+
+
+def alike(threshold: float, k: int, limit: int):
+    """For mapInArrow over (key, salt, role, id, c, sig), sorted by key, salt and role: (hub, other, score) of asked rows (role 0) and members (role 1) of a bucket in different components whose minima agree often enough.
 
-    That is five standard errors below the threshold, so that hardly a true link is lost. A bucket's asked rows, BLOCK
-    at most, are held while its members stream by; only likely pairs come out.
+    A bucket's asked rows, BLOCK at most, are held while its members stream by. Each brings its `limit` partners of
+    highest agreement; where more are likely, a row (hub, hub, -1) says so.
     """
 
     def run(batches):
-        at, ids, comps, sigs = None, [], [], []
+        least = least_agreement(threshold, k)
+        at, ids, comps, sigs, best, cut = None, [], [], [], [], []
+
+        def flush():
+            rows = [(hub, other, score) for hub, heap in zip(ids, best) for score, _, other in heap] + [(hub, hub, -1) for hub, c in zip(ids, cut) if c]
+            return [list(c) for c in zip(*rows)] if rows else [[], [], []]
+
+        kind, count = None, 0
         for batch in batches:
             m = batch.num_rows
             if not m:
                 continue
-            key, salt, role, c = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2, 4))
+            kind = batch.column(3).type
+            out: list[list] = [[], [], []]
+            key, salt, role, c = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 4))
             own = batch.column(3).to_pylist()
-            raw, offsets = buffers(batch.column(5))
-            sig = raw.reshape(m, -1)
-            k = sig.shape[1]
-            least = (threshold - 5 * math.sqrt(threshold * (1 - threshold) / k)) * k
+            sig = unpacked(batch.column(5), k)
             cuts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])))
-            a, b = [], []
             for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), m]):
                 if (key[i], salt[i]) != at:
-                    at, ids, comps, sigs = (key[i], salt[i]), [], [], []
+                    for col, more in zip(out, flush()):
+                        col += more
+                    at, ids, comps, sigs, best, cut = (key[i], salt[i]), [], [], [], [], []
                 split = i + int(np.searchsorted(role[i:j], 1))
                 if split > i:
                     ids += own[i:split]
                     comps += c[i:split].tolist()
-                    sigs.append(sig[i:split].copy())
+                    best += [[] for _ in range(split - i)]
+                    cut += [False] * (split - i)
+                    sigs = [np.concatenate([*sigs, sig[i:split]])]
                 for x in range(split, j, 256):
                     y = min(j, x + 256)
-                    for h, (hub, comp) in enumerate(zip(ids, comps)):
-                        if h == 0:
-                            block = sigs[0] if len(sigs) == 1 else np.concatenate(sigs)
-                        good = np.flatnonzero(((sig[x:y] == block[h]).sum(axis=1) >= least) & (c[x:y] != comp))
-                        for g in good.tolist():
-                            other = own[x + g]
-                            a.append(min(hub, other))
-                            b.append(max(hub, other))
-            yield pa.RecordBatch.from_arrays([pa.array(a, batch.column(3).type), pa.array(b, batch.column(3).type)], names=["a", "b"])
+                    for h, comp in enumerate(comps):
+                        score = (sig[x:y] == sigs[0][h]).sum(axis=1)
+                        good = np.flatnonzero((score >= least) & (c[x:y] != comp))
+                        for g, v in zip(good.tolist(), score[good].tolist()):
+                            count += 1
+                            if len(best[h]) < limit:
+                                heapq.heappush(best[h], (v, count, own[x + g]))
+                            else:
+                                heapq.heappushpop(best[h], (v, count, own[x + g]))
+                                cut[h] = True
+            yield scored(out, kind)
+        if kind is not None:
+            yield scored(flush(), kind)
 
     return run
 
 
+def scored(cols: list[list], kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (kind, kind, pa.int32()))], names=["hub", "other", "score"])
+
+
 def linked(words: int, num: int, den: int):
     """For mapInArrow over (a, b, text_a, text_b): pairs with den * intersection >= num * union of the full sets."""
 
@@ -184,11 +235,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Two texts are linked when den * |A and B| >= num * |A or B| for their sets of word shingles. Texts with one set
     are one class, found by a 128-bit mark of the set; only the least id of a class goes on, so copies are never
-    expanded into pairs. Classes meet in band buckets. In the first round every class of a bucket is held against the
-    bucket's least. In later rounds, of each bucket that has classes of several components, those outside its largest
-    component, up to BLOCK of them, are held against all of the bucket in other components. Signatures are compared as
-    a bucket's rows stream by, so only likely pairs are ever made; they are confirmed on full sets. Rounds end when
-    every pair of a bucket was held together or is connected: no cap drops a pair.
+    expanded into pairs. Classes meet in band buckets. First every class is held against two of its buckets' least
+    classes: the one met in most buckets and the least of all. In the rounds that follow, of each bucket that has
+    classes of several components, those outside its largest component, up to BLOCK of them, are held against all of
+    the bucket in other components. Signatures are compared as a bucket's rows stream by, so only likely pairs are
+    made, the PARTNERS best of each row first; they are confirmed on full sets. Rounds end when every pair of a bucket
+    was held together or is connected: no cap drops a pair. Joins whose both sides grow with the input are merge
+    joins at every size.
 
     Null texts and texts without words have no shingles and are linked with nothing: component_id is their own id.
     Rows of one id are one node; repeated rows come back as often as they are in docs. A null id takes part in its
@@ -204,56 +257,77 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = scratch.table(read.mapInArrow(signer(words, rows, bands), f"id {kind}, {SIGNED}"), "signed")
     full = signed.where("n_shingles > 0 and id is not null")
     classes = scratch.table(signed.where("n_shingles > 0").groupBy("fp1", "fp2").agg(F.min("id").alias("rep")), "classes")
-    members = full.select("id", "fp1", "fp2", "keys").join(classes.withColumnRenamed("rep", "id"), ["fp1", "fp2", "id"]).select("id", F.explode("keys").alias("key"))
+    members = full.select("id", "fp1", "fp2", "keys").join(classes.withColumnRenamed("rep", "id").hint("merge"), ["fp1", "fp2", "id"]).select("id", F.explode("keys").alias("key"))
     members = scratch.table(members, "members")
     buckets = members.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("top"), F.count("*").alias("n")).where("hub < top").select("key", "hub", (F.lit(1) + F.col("n") / DEALT).cast("int").alias("salts"))
-    live = scratch.table(members.join(buckets, "key"), "live-0")
+    live = scratch.table(members.join(buckets.hint("merge"), "key"), "live-0")
     scratch.drop("members")
     scratch.release()
-    asked = live.where("id = hub").drop("hub").distinct().withColumn("c", F.col("id"))
-    live, comp, tested, edges, done, k = live.drop("hub"), None, None, None, False, 0
-    parts = live.withColumn("c", F.col("id"))
+    tested = scratch.table(_first(live, full, num / den, rows * bands, kind), "pairs-0")
+    live = live.drop("hub")
+    edges = _verify(tested, read, words, num, den, kind, scratch, 0)
+    comp = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch, "cc0")
+    k = step = 0
     while True:
-        pairs = _likely(parts, asked, full, num / den, kind)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch.table(pairs, f"pairs-{k}")
-        found = _verify(pairs, read, words, num, den, kind, scratch, k)
-        edges = found if edges is None else edges.union(found)
-        tested = pairs if tested is None else tested.union(pairs)
-        if k == 0 or not found.isEmpty():
-            comp = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch, f"cc{k}")
-        if done:
-            break
         k += 1
-        parts = live.join(comp.select(F.col("node").alias("id"), "component"), "id", "left").select("key", "id", "salts", F.coalesce("component", "id").alias("c"))
+        parts = live.join(comp.select(F.col("node").alias("id"), "component").hint("merge"), "id", "left").select("key", "id", "salts", F.coalesce("component", "id").alias("c"))
         sizes = parts.groupBy("key", "c").agg(F.count("*").alias("n"))
         split = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "c")).alias("most")).where("parts > 1").select("key", F.col("most.c").alias("largest"), (F.col("all") - F.col("most.n")).alias("others"))
-        parts = scratch.table(parts.join(split, "key"), f"parts-{k}")
+        parts = scratch.table(parts.join(split.hint("merge"), "key"), f"parts-{k}")
         most = parts.agg(F.max("others")).first()[0]
         if not most:
             break
         # All pairs of different components are held together in this round, unless a bucket has more to ask than a block.
-        done = most <= BLOCK
         asked = parts.where("c <> largest")
-        if not done:
+        if most > BLOCK:
             asked = asked.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("rank") <= BLOCK)
         asked = scratch.table(asked.select("key", "id", "salts", "c"), f"asked-{k}")
-        if not done:
-            live = scratch.table(parts.select("key", "id", "salts").join(asked.select("key", "id"), ["key", "id"], "left_anti"), f"live-{k}")
+        met = _likely(parts, asked, full, num / den, rows * bands, PARTNERS[step], kind)
+        met = scratch.table(met.withColumn("rank", F.row_number().over(Window.partitionBy("hub").orderBy(F.desc("score"), "other"))), f"met-{k}")
+        more = not met.where((F.col("score") < 0) | (F.col("rank") > PARTNERS[step])).isEmpty()
+        pairs = met.where((F.col("score") >= 0) & (F.col("rank") <= PARTNERS[step])).select(F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b")).distinct()
+        pairs = scratch.table(pairs.join(tested.hint("merge"), ["a", "b"], "left_anti"), f"pairs-{k}")
+        scratch.drop(f"met-{k}")
+        found = _verify(pairs, read, words, num, den, kind, scratch, k)
+        edges, tested = edges.union(found), tested.union(pairs)
+        if not found.isEmpty():
+            comp = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch, f"cc{k}")
+        if more:
+            step += 1
+            live = parts.select("key", "id", "salts")
+        elif most > BLOCK:
+            step = 0
+            live = scratch.table(parts.select("key", "id", "salts").join(asked.select("key", "id").hint("merge"), ["key", "id"], "left_anti"), f"live-{k}")
+        else:
+            break
+        scratch.drop(f"asked-{k}")
+        if k > 1:
+            scratch.drop(f"parts-{k - 1}")
+        scratch.release()
     of = classes.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left").select("fp1", "fp2", F.coalesce("component", "rep").alias("component"))
     out = signed.select("id", "n_shingles", "fp1", "fp2").join(of, ["fp1", "fp2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def _likely(parts: DataFrame, asked: DataFrame, full: DataFrame, threshold: float, kind: str) -> DataFrame:
-    """Likely pairs (a, b) of asked rows and members of their buckets. Asked rows go to each of a large bucket's tasks."""
+def _first(live: DataFrame, full: DataFrame, threshold: float, k: int, kind: str) -> DataFrame:
+    """Likely pairs (a, b) of each class and two of its buckets' least classes, whatever the number of its buckets."""
+    met = live.where("id <> hub").groupBy("id", "hub").agg(F.count("*").alias("n"))
+    two = met.groupBy("id").agg(F.max(F.struct("n", "hub")).alias("most"), F.min("hub").alias("least"))
+    two = two.select(F.explode(F.array_distinct(F.array("most.hub", "least"))).alias("a"), F.col("id").alias("b"))
+    sigs = full.select("id", "sig")
+    for side in ("a", "b"):
+        two = two.join(sigs.select(F.col("id").alias(side), F.col("sig").alias(f"sig_{side}")).hint("merge"), side)
+    return two.select("a", "b", "sig_a", "sig_b").mapInArrow(agreeing(threshold, k), f"a {kind}, b {kind}").distinct()
+
+
+def _likely(parts: DataFrame, asked: DataFrame, full: DataFrame, threshold: float, k: int, limit: int, kind: str) -> DataFrame:
+    """Likely (hub, other, score) of asked rows and members of their buckets. Asked rows go to each of a large bucket's tasks."""
     to = asked.select("key", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).cast("byte").alias("role"), "id", F.xxhash64("c").alias("c"))
     by = parts.select("key", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(1).cast("byte").alias("role"), "id", F.xxhash64("c").alias("c"))
-    met = to.union(by).join(full.select("id", "sig"), "id").select("key", "salt", "role", "id", "c", "sig")
+    met = to.union(by).join(full.select("id", "sig").hint("merge"), "id").select("key", "salt", "role", "id", "c", "sig")
     dealt = met.repartition("key", "salt").sortWithinPartitions("key", "salt", "role")
-    return dealt.mapInArrow(alike(threshold), f"a {kind}, b {kind}").where("a <> b").distinct()
+    return dealt.mapInArrow(alike(threshold, k, limit), f"hub {kind}, other {kind}, score int").distinct()
 
 
 def _verify(pairs: DataFrame, read: DataFrame, words: int, num: int, den: int, kind: str, scratch: Scratch, k: int) -> DataFrame:
