@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tracewright.llm import near
 from tracewright.llm.exact import exact_duplicates
 from tracewright.llm.lines import drop_lines, keep_bitmaps, unpack
 from tracewright.llm.near import near_duplicates
@@ -30,9 +31,9 @@ def texts():
     say = lambda n: " ".join("".join(rng.choice(words, rng.integers(1, 4))) for _ in range(n))
     base = say(120)
     out = [None, "", " \t\n", "a", "A", "one two", "one\x0btwo", "\n\n", "x" * 500, "ab" * 300, "the same words again " * 60]
-    near = base.split(" ")
+    first = base.split(" ")
     for k in range(30):
-        w = list(near)
+        w = list(first)
         for p in rng.choice(len(w), k % 5, replace=False):
             w[p] = say(1)
         out.append(" ".join(w))
@@ -63,8 +64,11 @@ def shingles(text, k):
     return {tuple(w)} if 0 < len(w) < k else {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
 
 
-@pytest.mark.parametrize("words,num", [(3, 85), (5, 80)])
-def test_near_duplicates(docs, rows, words, num):
+@pytest.mark.parametrize("words,num,small", [(3, 85, False), (5, 80, False), (1, 60, True)])
+def test_near_duplicates(docs, rows, words, num, small, monkeypatch):
+    if small:  # many rounds of few partners, in several tasks a bucket
+        for name, value in (("BLOCK", 5), ("DEALT", 4), ("PARTNERS", (1, 2, 2**31 - 1))):
+            monkeypatch.setattr(near, name, value)
     sets = {r[0]: shingles(r[1], words) for r in rows}
     up = {i: i for i in sets}
 
@@ -82,6 +86,20 @@ def test_near_duplicates(docs, rows, words, num):
     assert got == {i: (len(sets[i]), root(i), root(i) == i) for i in sets}
 
 
+def test_parity_sketches_lose_no_link():
+    rng = np.random.default_rng(3)
+    for size in (1, 7, 200, 5000):
+        a = rng.integers(0, 2**63, size, dtype=np.uint64)
+        for own in (0, size // 20, size // 8, size // 2):
+            b = np.concatenate([a[own:], rng.integers(0, 2**63, own // 2, dtype=np.uint64)])
+            x, y = (near.parities(s).view(np.uint64)[None] for s in (a, b))
+            common = size - own
+            linked = 100 * common >= 85 * (len(a) + len(b) - common)
+            may = near.possible(np.array([len(a)]), np.array([len(b)]), x, y, 85, 100)[0]
+            assert may or not linked
+            assert size > 200 or own < size // 2 or size == 1 or not may
+
+
 def test_near_duplicates_of_odd_rows(spark, none):
     odd = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (None, "a b c d"), (None, "z"), (2, None)], "doc_id long, text string")
     got = sorted(near_duplicates(odd).collect(), key=repr)

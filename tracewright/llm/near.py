@@ -24,6 +24,8 @@ BLOCK = 1024
 PARTNERS = (4, 64, 2**31 - 1)
 #: Members of a bucket that meet in one task; a larger bucket is dealt to several, each of which has the block.
 DEALT = 1000
+#: Bits of a set's parity sketch.
+PARITY = 1024
 #: Elements of a set whose minima are taken at a time.
 CHUNK = 4096
 
@@ -91,10 +93,26 @@ def packed(sig: np.ndarray) -> np.ndarray:
     return low[:, ::2] | low[:, 1::2] << 4
 
 
-def unpacked(column: pa.Array, k: int) -> np.ndarray:
-    """The k values of 4 bits in each row of a column that packed() made."""
-    raw = buffers(column)[0].reshape(len(column), -1)
-    return np.stack([raw & 15, raw >> 4], axis=2).reshape(len(column), -1)[:, :k]
+def parities(s: np.ndarray) -> np.ndarray:
+    """For each of PARITY cells, whether it has an odd number of the set's elements. Two sets' sketches differ in no more bits than the sets have elements of their own."""
+    return np.packbits(np.bincount((s & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY).astype(np.uint8) & 1)
+
+
+class Signatures:
+    """A column of signatures: n, the set's size; bits, its parity sketch; low, 4 bits of each of k minima."""
+
+    def __init__(self, column: pa.Array, k: int):
+        raw = buffers(column)[0].reshape(len(column), -1)
+        self.n = np.ascontiguousarray(raw[:, :8]).view(np.int64)[:, 0]
+        self.bits = np.ascontiguousarray(raw[:, 8 : 8 + PARITY // 8]).view(np.uint64)
+        low = raw[:, 8 + PARITY // 8 :]
+        self.low = np.stack([low & 15, low >> 4], axis=2).reshape(len(column), -1)[:, :k]
+
+
+def possible(n_a, n_b, bits_a: np.ndarray, bits_b: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Whether sets may be linked by their sizes and parity sketches; where not, they surely are not: den * intersection >= num * union means that at most (den - num) / (den + num) of n_a + n_b elements are in one set only."""
+    apart = np.maximum(np.bitwise_count(bits_a ^ bits_b).sum(axis=1, dtype=np.int64), np.abs(n_a - n_b))
+    return (den + num) * apart <= (den - num) * (n_a + n_b)
 
 
 def least_agreement(threshold: float, k: int) -> float:
@@ -106,16 +124,17 @@ SIGNED = "n_shingles long, fp1 long, fp2 long, keys array<long>, sig binary"
 
 
 def signer(words: int, rows: int, bands: int):
-    """For mapInArrow over (id, text): (id, n_shingles, fp1, fp2, keys, sig). fp1 and fp2 are a 128-bit mark of the set; keys has one bucket for each band; sig has 4 bits of each minimum."""
+    """For mapInArrow over (id, text): (id, n_shingles, fp1, fp2, keys, sig). fp1 and fp2 are a 128-bit mark of the set; keys has one bucket for each band; sig has the set's size, its parity sketch and 4 bits of each minimum."""
 
     def run(batches):
         minima = Minima(rows * bands)
         weights = mix(np.arange(1, rows + 1, dtype=np.uint64))
         salt = mix(np.arange(1000, 1000 + bands, dtype=np.uint64))
         for batch in batches:
-            n, fp1, fp2, sigs = [], [], [], []
+            n, fp1, fp2, sigs, bits = [], [], [], [], []
             for s in shingle_sets(batch.column(1), words):
                 n.append(len(s))
+                bits.append(parities(s))
                 fp1.append(mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
                 fp2.append(mix(s ^ np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64))
                 sigs.append(minima.of(s) if len(s) else np.zeros(rows * bands, np.uint32))
@@ -132,7 +151,7 @@ def signer(words: int, rows: int, bands: int):
                     pa.array(np.array(fp1, np.uint64).view(np.int64)),
                     pa.array(np.array(fp2, np.uint64).view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                    pa.array([r.tobytes() for r in packed(sig)], pa.binary()),
+                    pa.array([c.tobytes() + b.tobytes() + r.tobytes() for c, b, r in zip(count, bits, packed(sig))], pa.binary()),
                 ],
                 names=["id", "n_shingles", "fp1", "fp2", "keys", "sig"],
             )
@@ -140,27 +159,28 @@ def signer(words: int, rows: int, bands: int):
     return run
 
 
-def agreeing(threshold: float, k: int):
-    """For mapInArrow over (a, b, sig_a, sig_b): the pairs whose minima agree often enough."""
+def agreeing(num: int, den: int, k: int):
+    """For mapInArrow over (a, b, sig_a, sig_b): the pairs that may be linked and whose minima agree often enough."""
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
-                same = (unpacked(batch.column(2), k) == unpacked(batch.column(3), k)).sum(axis=1)
-                yield batch.select([0, 1]).filter(pa.array(same >= least_agreement(threshold, k)))
+                a, b = Signatures(batch.column(2), k), Signatures(batch.column(3), k)
+                good = (a.low == b.low).sum(axis=1) >= least_agreement(num / den, k)
+                yield batch.select([0, 1]).filter(pa.array(good & possible(a.n, b.n, a.bits, b.bits, num, den)))
 
     return run
 
 
-def alike(threshold: float, k: int, limit: int):
-    """For mapInArrow over (key, salt, role, id, c, sig), sorted by key, salt and role: (hub, other, score) of asked rows (role 0) and members (role 1) of a bucket in different components whose minima agree often enough.
+def alike(num: int, den: int, k: int, limit: int):
+    """For mapInArrow over (key, salt, role, id, c, sig), sorted by key, salt and role: (hub, other, score) of asked rows (role 0) and members (role 1) of a bucket in different components that may be linked and whose minima agree often enough.
 
     A bucket's asked rows, BLOCK at most, are held while its members stream by. Each brings its `limit` partners of
     highest agreement; where more are likely, a row (hub, hub, -1) says so.
     """
 
     def run(batches):
-        least = least_agreement(threshold, k)
+        least = least_agreement(num / den, k)
         at, ids, comps, sigs, best, cut = None, [], [], [], [], []
 
         def flush():
@@ -176,7 +196,7 @@ def alike(threshold: float, k: int, limit: int):
             out: list[list] = [[], [], []]
             key, salt, role, c = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2, 4))
             own = batch.column(3).to_pylist()
-            sig = unpacked(batch.column(5), k)
+            sig = Signatures(batch.column(5), k)
             cuts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (salt[1:] != salt[:-1])))
             for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), m]):
                 if (key[i], salt[i]) != at:
@@ -189,13 +209,14 @@ def alike(threshold: float, k: int, limit: int):
                     comps += c[i:split].tolist()
                     best += [[] for _ in range(split - i)]
                     cut += [False] * (split - i)
-                    sigs = [np.concatenate([*sigs, sig[i:split]])]
+                    mine = (sig.n[i:split], sig.bits[i:split], sig.low[i:split])
+                    sigs = [np.concatenate(x) for x in zip(sigs, mine)] if sigs else list(mine)
                 for x in range(split, j, 256):
                     y = min(j, x + 256)
                     for h, comp in enumerate(comps):
-                        score = (sig[x:y] == sigs[0][h]).sum(axis=1)
-                        good = np.flatnonzero((score >= least) & (c[x:y] != comp))
-                        for g, v in zip(good.tolist(), score[good].tolist()):
+                        good = np.flatnonzero((c[x:y] != comp) & possible(sigs[0][h], sig.n[x:y], sigs[1][h], sig.bits[x:y], num, den))
+                        score = (sig.low[x:y][good] == sigs[2][h]).sum(axis=1)
+                        for g, v in zip(good[score >= least].tolist(), score[score >= least].tolist()):
                             count += 1
                             if len(best[h]) < limit:
                                 heapq.heappush(best[h], (v, count, own[x + g]))
@@ -238,8 +259,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     expanded into pairs. Classes meet in band buckets. First every class is held against two of its buckets' least
     classes: the one met in most buckets and the least of all. In the rounds that follow, of each bucket that has
     classes of several components, those outside its largest component, up to BLOCK of them, are held against all of
-    the bucket in other components. Signatures are compared as a bucket's rows stream by, so only likely pairs are
-    made, the PARTNERS best of each row first; they are confirmed on full sets. Rounds end when every pair of a bucket
+    the bucket in other components. Signatures are compared as a bucket's rows stream by (parity sketches bound the
+    number of elements in one set only, minima estimate the similarity), so only likely pairs are made, the PARTNERS best of each row first; they are confirmed on full sets. Rounds end when every pair of a bucket
     was held together or is connected: no cap drops a pair. Joins whose both sides grow with the input are merge
     joins at every size.
 
@@ -263,7 +284,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     live = scratch.table(members.join(buckets.hint("merge"), "key"), "live-0")
     scratch.drop("members")
     scratch.release()
-    tested = scratch.table(_first(live, full, num / den, rows * bands, kind), "pairs-0")
+    tested = scratch.table(_first(live, full, num, den, rows * bands, kind), "pairs-0")
     live = live.drop("hub")
     edges = _verify(tested, read, words, num, den, kind, scratch, 0)
     comp = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch, "cc0")
@@ -282,7 +303,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if most > BLOCK:
             asked = asked.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("rank") <= BLOCK)
         asked = scratch.table(asked.select("key", "id", "salts", "c"), f"asked-{k}")
-        met = _likely(parts, asked, full, num / den, rows * bands, PARTNERS[step], kind)
+        met = _likely(parts, asked, full, num, den, rows * bands, PARTNERS[step], kind)
         met = scratch.table(met.withColumn("rank", F.row_number().over(Window.partitionBy("hub").orderBy(F.desc("score"), "other"))), f"met-{k}")
         more = not met.where((F.col("score") < 0) | (F.col("rank") > PARTNERS[step])).isEmpty()
         pairs = met.where((F.col("score") >= 0) & (F.col("rank") <= PARTNERS[step])).select(F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b")).distinct()
@@ -310,7 +331,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def _first(live: DataFrame, full: DataFrame, threshold: float, k: int, kind: str) -> DataFrame:
+def _first(live: DataFrame, full: DataFrame, num: int, den: int, k: int, kind: str) -> DataFrame:
     """Likely pairs (a, b) of each class and two of its buckets' least classes, whatever the number of its buckets."""
     met = live.where("id <> hub").groupBy("id", "hub").agg(F.count("*").alias("n"))
     two = met.groupBy("id").agg(F.max(F.struct("n", "hub")).alias("most"), F.min("hub").alias("least"))
@@ -318,16 +339,16 @@ def _first(live: DataFrame, full: DataFrame, threshold: float, k: int, kind: str
     sigs = full.select("id", "sig")
     for side in ("a", "b"):
         two = two.join(sigs.select(F.col("id").alias(side), F.col("sig").alias(f"sig_{side}")).hint("merge"), side)
-    return two.select("a", "b", "sig_a", "sig_b").mapInArrow(agreeing(threshold, k), f"a {kind}, b {kind}").distinct()
+    return two.select("a", "b", "sig_a", "sig_b").mapInArrow(agreeing(num, den, k), f"a {kind}, b {kind}").distinct()
 
 
-def _likely(parts: DataFrame, asked: DataFrame, full: DataFrame, threshold: float, k: int, limit: int, kind: str) -> DataFrame:
+def _likely(parts: DataFrame, asked: DataFrame, full: DataFrame, num: int, den: int, k: int, limit: int, kind: str) -> DataFrame:
     """Likely (hub, other, score) of asked rows and members of their buckets. Asked rows go to each of a large bucket's tasks."""
     to = asked.select("key", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).cast("byte").alias("role"), "id", F.xxhash64("c").alias("c"))
     by = parts.select("key", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int").alias("salt"), F.lit(1).cast("byte").alias("role"), "id", F.xxhash64("c").alias("c"))
     met = to.union(by).join(full.select("id", "sig").hint("merge"), "id").select("key", "salt", "role", "id", "c", "sig")
     dealt = met.repartition("key", "salt").sortWithinPartitions("key", "salt", "role")
-    return dealt.mapInArrow(alike(threshold, k, limit), f"hub {kind}, other {kind}, score int").distinct()
+    return dealt.mapInArrow(alike(num, den, k, limit), f"hub {kind}, other {kind}, score int").distinct()
 
 
 def _verify(pairs: DataFrame, read: DataFrame, words: int, num: int, den: int, kind: str, scratch: Scratch, k: int) -> DataFrame:
