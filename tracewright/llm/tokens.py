@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +14,8 @@ from .bytesx import buffers, slices
 
 #: Pieces whose ids a worker keeps; beyond that it starts anew.
 KEPT = 1_200_000
+#: Bytes of texts whose pieces are looked up together, unless one text is longer.
+TOGETHER = 4 << 20
 #: A piece: spaces or line feeds, then all up to the next space or line feed.
 SPACE = np.isin(np.arange(256), [0x20, 0x0A])
 #: White space by any library's rules, but for spaces and line feeds: texts with these are encoded whole.
@@ -73,7 +75,7 @@ class Encoder:
         """Numbers of different pieces; new ones are encoded."""
         if len(self.index) > KEPT:
             self._clear()
-        out = np.fromiter((self.index.get(w, -1) for w in words), np.int64, len(words))
+        out = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(out < 0)
         if len(new):
             out[new] = np.arange(len(self.index), len(self.index) + len(new))
@@ -86,7 +88,7 @@ class Encoder:
     def texts(self, column: pa.Array):
         """The ids of each text of a column, in order; null is empty."""
         data, offsets = buffers(column)
-        for i, j in slices(offsets):
+        for i, j in slices(offsets, TOGETHER):
             at = offsets[i : j + 1] - offsets[i]
             text = data[offsets[i] : offsets[j]]
             odd = np.add.reduceat(np.append(MAYBE_ODD[text], 0), at[:-1]) * (np.diff(at) > 0) if self.pieces else np.diff(at)
