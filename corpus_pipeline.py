@@ -33,8 +33,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines whose key at least ten documents have go; a document of which nothing stays goes too."""
-    out = drop_lines(docs.select(*COLUMNS), keep_bitmaps(docs, min_docs=10, min_chars=1))
+    """Of a line whose key at least ten documents have, only the first in order of document and position stays.
+
+    A document goes if nothing of it stays: each of its lines then stands in an earlier one.
+    """
+    out = drop_lines(docs.select(*COLUMNS), keep_bitmaps(docs, min_docs=10, min_chars=1, keep_first=True))
     left = out.where(F.btrim("text", F.lit(" \t\n\x0b\f\r")) != "")
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 

@@ -170,6 +170,22 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     assert hashlib.sha256(repr(key(docs)).encode()).hexdigest()
 
 
+def test_pipeline_keeps_one_of_many_copies(spark, tmp_path):
+    import corpus_pipeline as P
+
+    rng = np.random.default_rng(8)
+    say = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), 5)) for _ in range(n))
+    copied = "\n".join(say(20) for _ in range(3))
+    texts = [copied if k % 2 else say(40) for k in range(24)]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    for k, (_, stage) in enumerate(P.STAGES):
+        stage(spark, docs, "").write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        if k == 3:
+            assert {r.doc_id: r.text for r in docs.collect()} == {i: texts[i] for i in [1, *range(0, 24, 2)]}
+    assert {r.doc_id for r in docs.collect()} == {1, *range(0, 24, 2)}
+
+
 def test_queries_are_registered():
     import __spark_entry__ as e
 
