@@ -178,6 +178,21 @@ def test_quality_thresholds_follow_the_group(spark):
     assert got[5000].odd_symbols and not got[5000].kept and not got[3].odd_symbols and not got[1003].odd_symbols
 
 
+def test_quality_thresholds_of_repeats(spark):
+    """Below the base cutoff, repeated words or lines go where their source has none and stay where it has many."""
+    say = lambda k, n: " ".join(f"w{k}x{i}" for i in range(n))
+    phrases = lambda k: f"{say(k, 162)} {say(-k, 19)} and {say(-k, 19)}"
+    lines = lambda k: "\n".join([say(k, 90), *["again"] * 4, *[say(k * 100 + j, 8) for j in range(10)]])
+    rows = [(k, say(k, 200), "en", "plain") for k in range(1, 300)] + [(1000 + k, (phrases if k % 2 else lines)(k), "en", "much") for k in range(1, 300)]
+    rows += [(5000, phrases(7000), "en", "plain"), (5001, lines(7001), "en", "plain")]
+    got = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(r.base_failed for r in got.values())
+    names = ["symbols", "dup_lines", "repeats", "word_length"]
+    odd = lambda i: [m for m in names if got[i][f"odd_{m}"]]
+    assert odd(5000) == ["repeats"] and odd(5001) == ["dup_lines"]
+    assert odd(1001) == odd(1002) == odd(5) == [] and got[1001].kept and not got[5000].kept and not got[5001].kept
+
+
 def test_passages(docs, rows, none):
     raw = {r[0]: (r[1] or "").encode() for r in rows}
     seen = Counter(x[k : k + 200] for x in raw.values() for k in range(len(x) - 199))

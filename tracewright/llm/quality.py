@@ -13,9 +13,11 @@ WINDOW = 5
 SYMBOLS = "#*$%&|<>"
 #: Buckets of a sketch: a metric is counted in whole thousandths (of 10 characters for word length), so a quantile is off by 1/1000 at most.
 TOP = 1000
-#: A metric may lie so many interquartile ranges, and so much at least, from the nearer quartile.
+#: A metric may lie so many interquartile ranges from the nearer quartile, and anywhere between the outer tenths of its
+#: group. Most groups have no symbols or repeats at all and so no range: the guard, added to the outer tenth, is what one
+#: repeated line or phrase of a short text makes.
 SPREAD = 6
-MARGINS = {"symbols": 80, "dup_lines": 300, "repeats": 200, "word_length": 400}
+GUARDS = {"symbols": 20, "dup_lines": 100, "repeats": 100, "word_length": 50}
 #: Added to a text's lines and words in the shares, so that one repeated line does not condemn a short text.
 FEW_LINES, FEW_WORDS = 8, 40
 #: Rows below which a group takes the thresholds of its language, and a language those of all rows.
@@ -95,18 +97,19 @@ def sketches(measured: DataFrame) -> DataFrame:
 
 
 def fences(sketch: DataFrame) -> DataFrame:
-    """(level, lang, source, metric, low, high, rows): limits from the quartiles of each sketch, of those merged by language, and of all merged."""
+    """(level, lang, source, metric, low, high, rows): limits from the quartiles and tenths of each sketch, of those merged by language, and of all merged."""
     null = F.lit(None).cast("string")
     levels = sketch.select(F.lit(2).alias("level"), "lang", "source", "metric", "bucket", "n")
     levels = levels.union(sketch.select(F.lit(1), "lang", null, "metric", "bucket", "n")).union(sketch.select(F.lit(0), null, null, "metric", "bucket", "n"))
     merged = levels.groupBy("level", "lang", "source", "metric", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy("level", "lang", "source", "metric")
     ranked = merged.select("*", F.sum("n").over(group.orderBy("bucket")).alias("upto"), F.sum("n").over(group).alias("rows"))
-    at = [F.min(F.when(F.col("upto") * 4 >= F.col("rows") * k, F.col("bucket"))).alias(f"q{k}") for k in (1, 3)]
+    at = [F.min(F.when(F.col("upto") * 20 >= F.col("rows") * k, F.col("bucket"))).alias(f"q{k}") for k in (2, 5, 15, 18)]
     quartiles = ranked.groupBy("level", "lang", "source", "metric").agg(F.max("rows").alias("rows"), *at)
-    margin = F.create_map(*[F.lit(x) for kv in MARGINS.items() for x in kv])[F.col("metric")]
-    wide = F.greatest(SPREAD * (F.col("q3") - F.col("q1")), margin)
-    return quartiles.select("level", "lang", "source", "metric", "rows", (F.col("q1") - wide).alias("low"), (F.col("q3") + wide).alias("high"))
+    guard = F.create_map(*[F.lit(x) for kv in GUARDS.items() for x in kv])[F.col("metric")]
+    wide = SPREAD * (F.col("q15") - F.col("q5"))
+    low, high = F.least(F.col("q5") - wide, F.col("q2") - guard), F.greatest(F.col("q15") + wide, F.col("q18") + guard)
+    return quartiles.select("level", "lang", "source", "metric", "rows", low.alias("low"), high.alias("high"))
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", least_words: int = 10, repeat_share: int = 20, scratch: Scratch | None = None) -> DataFrame:
@@ -115,7 +118,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Words are [^\\x20\\x09-\\x0D]+ of the whole text (null: none). word_chars: code points in words. n_symbols:
     characters of [#*$%&|<>]. n_dup_lines: lines with a word that equal an earlier line. n_repeat_words: words in
     five-word windows found twice or more. base_failed: fewer than least_words words, or over repeat_share percent of
-    the words repeat. Else a row fails if a metric lies far outside its group's quartiles (SPREAD, MARGINS): share of
+    the words repeat. Else a row fails if a metric lies far outside its group's quartiles (SPREAD, GUARDS): share of
     symbols, of repeated lines and of repeated words (high only), and mean word length (both sides).
 
     Thresholds come from sketches over all rows: bounded counters per language and source, merged by addition, so the
