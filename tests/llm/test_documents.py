@@ -193,6 +193,16 @@ def test_quality_thresholds_of_repeats(spark):
     assert odd(1001) == odd(1002) == odd(5) == [] and got[1001].kept and not got[5000].kept and not got[5001].kept
 
 
+def test_quality_word_length_has_no_ceiling(spark):
+    """Words too long for their source go, even where its usual ones have over 10 characters."""
+    say = lambda k, n: " ".join(f"{k:04d}{i:04d}".ljust(n, "x") for i in range(50))
+    rows = [(k, say(k, 12 + k % 3), "en", "long") for k in range(300)] + [(1000 + k, say(1000 + k, 8), "en", "short") for k in range(300)]
+    rows += [(5000, say(5000, 100), "en", "long"), (5001, say(5001, 13), "en", "long"), (5002, say(5002, 100), "en", "short")]
+    got = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert [i for i in got if got[i].odd_word_length] == [i for i in got if not got[i].kept]
+    assert {i for i in got if not got[i].kept} == {5000, 5002}
+
+
 def test_passages(docs, rows, none):
     raw = {r[0]: (r[1] or "").encode() for r in rows}
     seen = Counter(x[k : k + 200] for x in raw.values() for k in range(len(x) - 199))

@@ -11,13 +11,15 @@ from .exact import SPACES, without_space
 #: Words of a window for n_repeat_words.
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
-#: Buckets of a sketch: a metric is counted in whole thousandths (of 10 characters for word length), so a quantile is off by 1/1000 at most.
+#: Buckets of a sketch: a share is counted in whole thousandths, so a quantile is off by 1/1000 at most.
 TOP = 1000
+#: Buckets of mean word length: each is wider than the one before by a factor of e^(1/FINE), without a last one, so a quantile is off by 1/FINE of itself at most.
+FINE = 500
 #: A metric may lie so many interquartile ranges from the nearer quartile, and anywhere between the outer tenths of its
 #: group. Most groups have no symbols or repeats at all and so no range: the guard, added to the outer tenth, is what one
 #: repeated line or phrase of a short text makes.
 SPREAD = 6
-GUARDS = {"symbols": 20, "dup_lines": 100, "repeats": 100, "word_length": 50}
+GUARDS = {"symbols": 20, "dup_lines": 100, "repeats": 100, "word_length": 50}  # of word length a tenth, in buckets
 #: Added to a text's lines and words in the shares, so that one repeated line does not condemn a short text.
 FEW_LINES, FEW_WORDS = 8, 40
 #: Rows below which a group takes the thresholds of its language, and a language those of all rows.
@@ -77,8 +79,8 @@ def measures(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_
     )
 
 
-def _share(part: str, whole: str, scale: int = TOP) -> Column:
-    return F.when(F.expr(whole) > 0, F.least(F.lit(TOP).cast("long"), F.expr(f"({part} * {scale}L) div {whole}"))).otherwise(F.lit(0).cast("long"))
+def _share(part: str, whole: str) -> Column:
+    return F.when(F.expr(whole) > 0, F.expr(f"({part} * {TOP}L) div {whole}")).otherwise(F.lit(0).cast("long"))
 
 
 def metrics() -> dict[str, Column]:
@@ -86,12 +88,12 @@ def metrics() -> dict[str, Column]:
         "symbols": _share("n_symbols", "word_chars"),
         "dup_lines": _share("n_dup_lines", f"(n_lines + {FEW_LINES})"),
         "repeats": _share("n_repeat_words", f"(n_words + {FEW_WORDS})"),
-        "word_length": _share("word_chars", "n_words", TOP // 10),
+        "word_length": F.when(F.col("n_words") > 0, F.floor(FINE * F.log(F.col("word_chars") / F.col("n_words")))).otherwise(F.lit(0).cast("long")),
     }
 
 
 def sketches(measured: DataFrame) -> DataFrame:
-    """(lang, source, metric, bucket, n): for each group and metric a sketch of TOP + 1 counters at most. Two sketches merge by adding their counters, in any order and to the same result."""
+    """(lang, source, metric, bucket, n): for each group and metric a sketch of TOP + 1 counters at most, for word length of FINE for each factor e of its range. Two sketches merge by adding their counters, in any order and to the same result."""
     each = F.array(*[F.struct(F.lit(k).alias("metric"), v.alias("bucket")) for k, v in metrics().items()])
     return measured.select("lang", "source", F.explode(each).alias("m")).groupBy("lang", "source", "m.metric", "m.bucket").agg(F.count("*").alias("n"))
 
