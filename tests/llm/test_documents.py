@@ -258,6 +258,24 @@ def test_grammar_finds_unlabelled_credentials(spark):
     assert got[1000] == [3] and got[1001] == [] and got[1002] == [] and got[5] == [1]
 
 
+def test_background_counts_every_word():
+    import pyarrow as arrow
+
+    import tracewright.llm.secrets as S
+
+    texts = ["First words and-then more, é a.b=c1", None, "X password = 'hunter2hunter2' Yz"]
+    got = arrow.Table.from_batches(list(S.scanned([arrow.record_batch([arrow.array(texts)], names=["text"])]))).to_pydict()
+    want = Counter()
+    for t in [texts[0], "X", "Yz"]:
+        for w in re.findall(r"[A-Za-z0-9+/_.=-]+", t):
+            x = ["", *map(S.symbol, w), ""]
+            want.update(zip(x, x[1:]))
+    k = len(S.SYMBOLS)
+    counts = {(S.SYMBOLS[int(v) // k], S.SYMBOLS[int(v) % k]): n for kind, v, n in zip(*got.values()) if kind < 0}
+    assert {x: n for x, n in counts.items() if x != ("", "")} == want
+    assert [v for kind, v in zip(got["kind"], got["value"]) if kind >= 0] == ["hunter2hunter2"]
+
+
 def test_sorted_string_table(tmp_path):
     keys = [int_key(None), *map(int_key, sorted([-5, 0, 1, 2, 2, 2, 900, *range(10_000, 40_000, 3)]))]
     with open(tmp_path / "t", "wb") as f:

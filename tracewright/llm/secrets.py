@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,33 +49,61 @@ def candidates(text: str, spans: list) -> list[tuple[int, int, str]]:
     return out
 
 
-SPAN = "struct<start: long, kind: int, end: long, value: string>"
-#: An everyday word; a text's first is its share of the background.
-EVERYDAY = re.compile(r"[^\W\d_]{4,}")
+#: Symbols of candidates' characters; at 0 whatever bounds a word.
+SYMBOLS = ["", "0", "a", "z", "A", "Z", *"+/_.=-"]
+CODES = np.zeros(256, np.int64)
+for _c in "+/_.=-" + "".join(chr(x) for x in range(128) if chr(x).isalnum()):
+    CODES[ord(_c)] = SYMBOLS.index(symbol(_c))
+#: What the steps from one symbol of the background are scaled down to, about what a kind's states have.
+SCALE = 1000
+#: Steps by the symbols' shares that are added to each state of the background.
+PRIOR = 10_000
+
+
+def steps(texts: list[str]) -> np.ndarray:
+    """How often each symbol follows each other one in the words of texts."""
+    codes = CODES[np.frombuffer(("\n" + "\n".join(texts) + "\n").encode("utf-8", "surrogatepass"), np.uint8)]
+    return np.bincount(codes[:-1] * len(SYMBOLS) + codes[1:], minlength=len(SYMBOLS) ** 2)
 
 
 def scanned(batches):
-    """For mapInArrow over (id, text, ...): (id, base, found, word, ...): base spans, candidates, an everyday word; further columns stay."""
+    """For mapInArrow over (text): (kind, value, n) of a batch: its different labelled credentials, and as kind -1 how often each step of symbols is found outside base spans."""
     for batch in batches:
-        base, found, words = [], [], []
-        for text in batch.column(1):
+        labelled, rest = set(), []
+        for text in batch.column(0):
             t = text.as_py() or ""
             spans = base_spans(t)
-            base.append([dict(zip(("start", "kind", "end", "value"), s)) for s in spans])
-            found.append([{"start": a, "end": b, "value": v} for a, b, v in candidates(t, spans)])
-            first = EVERYDAY.search(t)
-            words.append(first and first[0])
-        span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("value", pa.string())])
-        cand = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("value", pa.string())])
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, pa.list_(span)), pa.array(found, pa.list_(cand)), pa.array(words, pa.string()), *batch.columns[2:]], names=["id", "base", "found", "word", *batch.schema.names[2:]])
+            labelled.update((k, v) for _, k, _, v in spans)
+            rest.append(mask(t, [{"start": a, "end": b} for a, _, b, _ in spans], " "))
+        n = steps(rest)
+        rows = [(k, v, 1) for k, v in sorted(labelled)] + [(-1, str(i), int(n[i])) for i in np.flatnonzero(n)]
+        kind, value, count = zip(*rows) if rows else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(value, pa.string()), pa.array(count, pa.int64())], names=["kind", "value", "n"])
+
+
+def background(counts: dict[int, int]) -> Automaton:
+    """An automaton whose state is the symbol before; PRIOR steps by the symbols' shares are added to each state's, so that a rare state is not shaped by a single credential, and all scaled down so that steps not met weigh about as in a kind's."""
+    a, k = Automaton(), len(SYMBOLS)
+    ends = [sum(counts.get(j * k + i, 0) for j in range(k) if i or j) for i in range(k)]
+    share = [x / max(1, sum(ends)) for x in ends]
+    # As in a kind's, a symbol that no word has stays in the state before.
+    met = {s: i for i, s in enumerate(SYMBOLS) if i and any(counts.get(i * k + j) for j in range(k))}
+    a.next = [met] * k
+    a.count, a.total = [{} for _ in range(k)], [0] * k
+    for state in range(k):
+        row = [(counts.get(state * k + i, 0) + PRIOR * share[i]) if state or i else 0 for i in range(k)]
+        by = min(1, SCALE / max(1, sum(row)))
+        a.count[state] = {s: n * by for s, n in zip(SYMBOLS, row)}
+        a.total[state] = sum(row) * by
+    return a
 
 
 class Grammars:
-    """An automaton and a limit for each kind, and one for everyday words as background."""
+    """An automaton and a limit for each kind, and one for all words as background."""
 
-    def __init__(self, labelled: dict[int, list[str]], everyday: list[str]):
+    def __init__(self, labelled: dict[int, list[str]], counts: dict[int, int]):
         self.alphabet = 12
-        self.background = infer(everyday or ["word"])
+        self.counts, self.background = counts, background(counts)
         self.kinds: list[tuple[Automaton, float, int]] = []
         for _, values in sorted(labelled.items()):
             a = infer(values)
@@ -86,43 +115,55 @@ class Grammars:
         return a.score(s, self.alphabet) - self.background.score(s, self.alphabet)
 
     def holds(self, value: str) -> bool:
-        return any(len(value) >= least and self.odds(a, value) >= limit for a, limit, least in self.kinds)
+        """Near the limit, the background is taken without the candidate's own steps, as it is without those of labelled credentials."""
+        for a, limit, least in self.kinds:
+            if len(value) >= least and (odds := self.odds(a, value)) > 0:
+                if odds >= limit:
+                    return True
+                own, symbols = steps([value]), [symbol(c) for c in value]
+                rest = background({i: n - int(own[i]) for i, n in self.counts.items()})
+                if a.score(symbols, self.alphabet) - rest.score(symbols, self.alphabet) >= limit:
+                    return True
+        return False
 
 
 def decided(grammars: Grammars):
-    """For mapInArrow over (id, base, found, word, ...): (id, spans, ...): base spans and the candidates that a grammar holds."""
+    """For mapInArrow over (id, text, ...): (id, spans, ...): base spans and the candidates that a grammar holds."""
 
     def run(batches):
         memo: dict[str, bool] = {}
+
+        def holds(v: str) -> bool:
+            if v not in memo:
+                if len(memo) > 100_000:
+                    memo.clear()
+                memo[v] = grammars.holds(v)
+            return memo[v]
+
         for batch in batches:
             out = []
-            for base, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                spans = [(s["start"], s["kind"], s["end"]) for s in base]
-                for c in found:
-                    v = c["value"]
-                    if v not in memo:
-                        if len(memo) > 100_000:
-                            memo.clear()
-                        memo[v] = grammars.holds(v)
-                    if memo[v]:
-                        spans.append((c["start"], 3, c["end"]))
+            for text in batch.column(1):
+                t = text.as_py() or ""
+                base = base_spans(t)
+                spans = [(a, k, b) for a, k, b, _ in base]
+                spans += [(a, 3, b) for a, b, v in candidates(t, base) if holds(v)]
                 out.append([dict(zip(("start", "kind", "end"), s)) for s in sorted(spans)])
             kind = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(kind)), *batch.columns[4:]], names=["id", "spans", *batch.schema.names[4:]])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(kind)), *batch.columns[2:]], names=["id", "spans", *batch.schema.names[2:]])
 
     return run
 
 
 def train(scan: DataFrame, sample: int = SAMPLE) -> Grammars:
-    """Grammars from at most `sample` different labelled credentials of each kind and as many everyday words, each the first in order of hashes, so that the sample does not depend on partitions."""
-    values = scan.select(F.explode("base").alias("b")).select("b.kind", "b.value").distinct()
+    """Grammars from at most `sample` different labelled credentials of each kind, the first in order of hashes, so that the sample does not depend on partitions, and from the steps of all words, of which there are len(SYMBOLS) ** 2 kinds."""
+    values = scan.where("kind >= 0").select("kind", "value").distinct()
     labelled = {}
     for kind in range(3):
         rows = values.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(sample).collect()
         if rows:
             labelled[kind] = [r.value for r in rows]
-    words = [r.word for r in scan.select("word").where("word is not null").distinct().orderBy(F.xxhash64("word"), "word").limit(sample).collect()]
-    return Grammars(labelled, words)
+    counts = scan.where("kind < 0").groupBy("value").agg(F.sum("n").alias("n")).collect()
+    return Grammars(labelled, {int(r.value): r.n for r in counts})
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, sample: int = SAMPLE, scratch: Scratch | None = None) -> DataFrame:
@@ -130,7 +171,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Base patterns are matched leftmost and without overlap in every whole text (null: empty); matches below their
     kind's length are dropped. Their values label credentials of a kind: an automaton is inferred from each kind's, and
-    every other candidate of the corpus is scored by all automata against one of everyday words. Base spans always
+    every other candidate of the corpus is scored by all automata against one of the steps of symbols in all words of all texts. Base spans always
     stay; a candidate is added where a grammar makes it likelier than the background by the limit that 95 % of its
     kind's own credentials pass. Spans count code points, end exclusive, ordered by start and then kind. Without any
     labelled credential nothing is added. Repeated rows come back each; an empty table gives an empty result.
@@ -141,9 +182,9 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(carry)])
     types = dict(rows.dtypes)
     more = "".join(f", c{k} {types[f'c{k}']}" for k in range(len(carry)))
-    scan = scratch.table(rows.mapInArrow(scanned, f"id {types['id']}, base array<{SPAN}>, found array<struct<start: long, end: long, value: string>>, word string{more}"), "scan")
+    scan = scratch.table(rows.select("text").mapInArrow(scanned, "kind int, value string, n long"), "scan")
     grammars = train(scan, sample)
-    out = scan.mapInArrow(decided(grammars), f"id {types['id']}, spans array<struct<start: long, kind: int, end: long>>{more}")
+    out = rows.mapInArrow(decided(grammars), f"id {types['id']}, spans array<struct<start: long, kind: int, end: long>>{more}")
     return out.withColumnsRenamed({"id": id_col} | {f"c{k}": c for k, c in enumerate(carry)})
 
 
