@@ -258,6 +258,19 @@ def test_grammar_finds_unlabelled_credentials(spark):
     assert got[1000] == [3] and got[1001] == [] and got[1002] == [] and got[5] == [1]
 
 
+def test_grammar_scores_short_dotted_and_partly_covered_runs(spark):
+    rng = np.random.default_rng(5)
+    pick = lambda chars, n: "".join(rng.choice(list(chars), n))
+    big, letters = "BCDEGHJKLMNPQRSTUVWXYZ", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = [lambda: pick(big, 8) + "." + pick(big, 8), lambda: pick(letters, 10), lambda: pick(letters, 20)]
+    rows = [(k, f"some everyday words before password: {keys[k % 3]()} and some more everyday words behind") for k in range(300)]
+    odd = [pick(letters, 10), pick(big, 8) + "." + pick(big, 8), pick(letters, 20) + "0123456789abcdef" * 2, "everyday words"]
+    rows += [(1000 + k, f"look {x} here") for k, x in enumerate(odd)]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1000] == [(3, 5, 15)] and got[1001] == [(3, 5, 22)] and got[1002] == [(3, 5, 25), (2, 25, 57)] and got[1003] == []
+    assert all([k for k, *_ in got[i]] == [0] for i in range(300))
+
+
 def test_background_counts_every_word():
     import pyarrow as arrow
 

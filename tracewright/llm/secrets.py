@@ -18,8 +18,8 @@ KINDS = ["assign", "access", "hex", "grammar"]
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-#: A candidate: a run of characters that credentials are made of, with a digit and a letter.
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: A candidate: a run of the characters of labelled credentials, of their least length.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
 #: Labelled credentials of a kind that an automaton is inferred from: a sample of this bound, in order of their hashes.
 SAMPLE = 400
 #: Share of the labelled credentials that may score below the limit for a new one of their kind.
@@ -40,15 +40,28 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 
 
 def candidates(text: str, spans: list) -> list[tuple[int, int, str]]:
-    """(start, end, value) of candidates that no span touches."""
-    out = []
+    """(start, end, value) of candidates; of one that spans touch, what they leave of it if that is long enough."""
+    out, k, spans = [], 0, sorted((s, e) for s, _, e, _ in spans)
     for m in CANDIDATE.finditer(text):
-        v = m[0]
-        if any(c.isdigit() for c in v) and any(c.isalpha() for c in v) and all(m.end() <= s or m.start() >= e for s, _, e, _ in spans):
-            out.append((m.start(), m.end(), v))
+        at = m.start()
+        while k < len(spans) and spans[k][1] <= at:
+            k += 1
+        for s, e in spans[k:]:
+            if s >= m.end():
+                break
+            if s - at >= 8:
+                out.append((at, s, text[at:s]))
+            at = max(at, e)
+        if m.end() - at >= 8:
+            out.append((at, m.end(), text[at : m.end()]))
     return out
 
 
+def parts(start: int, value: str) -> list[tuple[int, int, str]]:
+    """(start, end, part) of the stretches without a dot of a candidate with one, as these may hold a credential where the whole isn't one."""
+    return [(start + m.start(), start + m.end(), m[0]) for m in re.finditer(r"[^.]{8,}", value)] if "." in value else []
+
+
 #: Symbols of candidates' characters; at 0 whatever bounds a word.
 SYMBOLS = ["", "0", "a", "z", "A", "Z", *"+/_.=-"]
 CODES = np.zeros(256, np.int64)
@@ -146,7 +159,8 @@ def decided(grammars: Grammars):
                 t = text.as_py() or ""
                 base = base_spans(t)
                 spans = [(a, k, b) for a, k, b, _ in base]
-                spans += [(a, 3, b) for a, b, v in candidates(t, base) if holds(v)]
+                for a, b, v in candidates(t, base):
+                    spans += [(a, 3, b)] if holds(v) else [(x, 3, y) for x, y, part in parts(a, v) if holds(part)]
                 out.append([dict(zip(("start", "kind", "end"), s)) for s in sorted(spans)])
             kind = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(kind)), *batch.columns[2:]], names=["id", "spans", *batch.schema.names[2:]])
@@ -171,7 +185,8 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Base patterns are matched leftmost and without overlap in every whole text (null: empty); matches below their
     kind's length are dropped. Their values label credentials of a kind: an automaton is inferred from each kind's, and
-    every other candidate of the corpus is scored by all automata against one of the steps of symbols in all words of all texts. Base spans always
+    every other candidate of the corpus (see CANDIDATE; whole and, failing that, its parts between dots; of one that a
+    base span touches, each rest of 8 characters or more) is scored by all automata against one of the steps of symbols in all words of all texts. Base spans always
     stay; a candidate is added where a grammar makes it likelier than the background by the limit that 95 % of its
     kind's own credentials pass. Spans count code points, end exclusive, ordered by start and then kind. Without any
     labelled credential nothing is added. Repeated rows come back each; an empty table gives an empty result.
