@@ -10,11 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, shuffle_partitions
 from .tokens import encoder
 
-#: Parts that one length's pieces are ranked in, so that no task ranks all pieces of a common length.
+#: Parts, at least, that one length's pieces are ranked in, so that no task ranks all pieces of a common length.
 SALTS = 64
+#: Bins that the local search looks at, a millisecond or two each.
+TRIES = 5_000
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[list]:
@@ -43,32 +45,74 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[list]:
     return [g for groups in open_bins.values() for g in groups]
 
 
-def _better(low: tuple, high: tuple, room: int):
-    """The move or exchange that brings most from the emptier bin to the fuller one within its room: (out of low, out of high) or None."""
-    best, found = 0, None
-    ones = sorted(set(low))
-    two = sorted({(a, b) for i, a in enumerate(low) for b in low[i + 1 :]})
-    gives = [((a,), a) for a in ones] + [((a, b), a + b) for a, b in two]
-    back = [((), 0)] + [((b,), b) for b in sorted(set(high))]
-    pairs = sorted({(a, b) for i, a in enumerate(high) for b in high[i + 1 :]})
-    for out, size in gives:
-        takes = back if len(out) == 2 else back + [((a, b), a + b) for a, b in pairs]
-        for into, other in takes:
-            if best < size - other <= room:
-                best, found = size - other, (out, into)
-    return found
-
-
-def swap_search(groups: list[list], capacity: int) -> list[list]:
-    """Raises the sum of squared fills by moves, one-for-one, two-for-one and one-for-two exchanges from emptier to fuller bins, until the bins are as few as the total allows or no exchange is left.
-
-    Bins of one pattern are exchanged together. Each step raises the squared fills, so the search ends.
+def _options(pattern: tuple, takes: bool) -> dict[int, tuple]:
+    """What a bin can give (one or two items) or, with takes, get rid of (none, one or two), by size. A bin has at most sqrt(2 * capacity) different sizes, so these are a few hundred."""
+    n = Counter(pattern)
+    sizes = sorted(n)
+    out = {a + b: (a, b) for i, a in enumerate(sizes) for b in sizes[i:] if a != b or n[a] > 1}
+    out |= {a: (a,) for a in sizes}
+    return ({0: ()} | out) if takes else out
+
+
+class _Bins:
+    """Underfull patterns by what they can get rid of and their room."""
+
+    def __init__(self, capacity: int):
+        self.capacity = capacity
+        self.there = np.zeros((capacity + 1, capacity + 1), np.int32)
+        self.at: dict[tuple[int, int], dict[tuple, tuple]] = defaultdict(dict)
+        self.count: Counter = Counter()
+
+    def put(self, pattern: tuple, n: int) -> None:
+        room = self.capacity - sum(pattern)
+        known = pattern in self.count
+        self.count[pattern] += n
+        if room and known != bool(self.count[pattern]):
+            for size, items in _options(pattern, True).items():
+                if known:
+                    del self.at[size, room][pattern]
+                    self.there[size, room] -= 1
+                else:
+                    self.at[size, room][pattern] = items
+                    self.there[size, room] += 1
+        if not self.count[pattern]:
+            del self.count[pattern]
+
+    def best(self, low: tuple):
+        """(fuller bin, out of low, into low) of the exchange that brings most from low to a bin at least as full within its room, or None."""
+        room = self.capacity - sum(low)
+        single = self.count[low] == 1
+        if single:  # it is no partner of its own
+            self.put(low, -1)
+        widest = np.where(self.there[:, : room + 1] > 0, np.arange(room + 1), 0).max(axis=1)
+        gives = _options(low, False)
+        found = None
+        if gives:
+            size = np.array(sorted(gives))
+            gain = size[:, None] - np.arange(self.capacity + 1)
+            gain[(gain > widest) | (gain <= 0)] = 0
+            g, h = np.unravel_index(int(gain.argmax()), gain.shape)
+            if gain[g, h]:
+                high, into = min(self.at[int(h), int(widest[h])].items())
+                found = high, gives[int(size[g])], into
+        if single:
+            self.put(low, 1)
+        return found
+
+
+def swap_search(groups: list[list], capacity: int, tries: int = TRIES) -> list[list]:
+    """Raises the sum of squared fills by moves and exchanges of one or two items from emptier to fuller bins, until the bins are as few as the total allows, no exchange is left, or `tries` bins were looked at.
+
+    Bins of one pattern are exchanged together. Bins are gone through from the emptiest on, again and again while a
+    round finds something. A look costs a table of capacity ** 2 at most, so `tries` bounds the driver's time whatever
+    the input's size; every state on the way is a valid packing.
     """
-    bins = Counter()
+    bins = _Bins(capacity)
     for pattern, n in groups:
-        bins[tuple(sorted(pattern, reverse=True))] += n
-    total = sum(sum(p) * n for p, n in bins.items())
-    fewest = -(-total // capacity)
+        bins.put(tuple(sorted(pattern, reverse=True)), n)
+    count = bins.count
+    total = sum(sum(p) * n for p, n in count.items())
+    excess = sum(count.values()) - -(-total // capacity)
 
     def without(p: tuple, items: tuple) -> list:
         out = list(p)
@@ -76,33 +120,29 @@ def swap_search(groups: list[list], capacity: int) -> list[list]:
             out.remove(x)
         return out
 
-    idle: set[tuple] = set()
-    while sum(bins.values()) > fewest:
-        under = sorted((p for p in bins if sum(p) < capacity), key=lambda p: (sum(p), p))
-        step = None
-        for i, low in enumerate(under):
-            for high in reversed(under[i:]):
-                if (high == low and bins[low] < 2) or (low, high) in idle:
-                    continue
-                if step := _better(low, high, capacity - sum(high)):
+    moved = True
+    while moved and excess > 0:
+        moved = False
+        for low in sorted((p for p in count if sum(p) < capacity), key=lambda p: (sum(p), p)):
+            while low in count and excess > 0 and tries > 0:
+                tries -= 1
+                step = bins.best(low)
+                if not step:
                     break
-                idle.add((low, high))
-            if step:
-                break
-        if not step:
+                high, out, into = step
+                n = count[low] // 2 if low == high else min(count[low], count[high])
+                bins.put(low, -n)
+                bins.put(high, -n)
+                a = tuple(sorted(without(low, out) + list(into), reverse=True))
+                bins.put(tuple(sorted(without(high, into) + list(out), reverse=True)), n)
+                if a:
+                    bins.put(a, n)
+                else:
+                    excess -= n
+                moved = True
+        if tries <= 0:
             break
-        out, into = step
-        n = bins[low] // 2 if low == high else min(bins[low], bins[high])
-        for p in (low, high):
-            bins[p] -= n
-            if not bins[p]:
-                del bins[p]
-        a = tuple(sorted(without(low, out) + list(into), reverse=True))
-        b = tuple(sorted(without(high, into) + list(out), reverse=True))
-        bins[b] += n
-        if a:
-            bins[a] += n
-    return [[p, n] for p, n in sorted(bins.items(), reverse=True)]
+    return [[p, n] for p, n in sorted(count.items(), reverse=True)]
 
 
 def slots(groups: list[list]) -> tuple[dict[str, np.ndarray], int]:
@@ -161,7 +201,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024, id_
     piece of what is left over. Pieces fill sequences of at most capacity ids without gaps. Only the counts of the
     capacity - 1 shorter lengths reach the driver, whatever the input's size; there best fit and the swap search pack
     all of them at once, and the k-th piece of a length takes its k-th place. Pieces of one length are ranked in
-    SALTS parts by id, so no task holds them all. Repeated rows are packed each. An empty table gives an empty result.
+    parts by hash, as many as there are shuffle partitions, so no task holds them all. Repeated rows are packed each. An
+    empty table gives an empty result.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "packing")
@@ -169,16 +210,15 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024, id_
     kind = dict(read.dtypes)["id"]
     shape = f"id {kind}, piece int, start long, length long, ids_crc32 long"
     cut = scratch.table(read.mapInArrow(cut_pieces(tokenizer, end_id, capacity), shape), "pieces")
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("id", "ids_crc32"), F.lit(SALTS)).cast("int"))
+    salts = max(SALTS, shuffle_partitions(spark))
+    salted = cut.withColumn("salt", F.pmod(F.xxhash64("id", "ids_crc32"), F.lit(salts)).cast("int"))
     short = salted.where(F.col("length") < capacity)
-    by = short.groupBy("length", "salt").agg(F.count("*").alias("n"))
-    counts: Counter = Counter()
-    for size, salt, n in sorted(by.collect()):  # capacity * SALTS rows at most
-        counts[size] += n
+    by = scratch.table(short.groupBy("length", "salt").agg(F.count("*").alias("n")), "counts")
+    counts = {r.length: r.n for r in by.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity - 1 rows at most
     table, sequences = slots(swap_search(best_fit(counts, capacity), capacity))
     before = by.select(F.col("length").alias("s_length"), F.col("salt").alias("s_salt"), F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     ranked = short.withColumn("rank", F.row_number().over(Window.partitionBy("length", "salt").orderBy("id", "piece", "ids_crc32")) - 1)
-    ranked = ranked.join(F.broadcast(before), (F.col("length") == F.col("s_length")) & (F.col("salt") == F.col("s_salt")))
+    ranked = ranked.join(before, (F.col("length") == F.col("s_length")) & (F.col("salt") == F.col("s_salt")))
     ranked = ranked.select("id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("before")).alias("rank"))
     fitted = ranked.mapInArrow(placed(table), f"{shape}, sequence_id long, offset long")
     whole = cut.where(F.col("length") == capacity).select("*", (F.lit(sequences) + F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
