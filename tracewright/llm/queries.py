@@ -63,7 +63,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = encode_pieces(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
-    return rows.mapInArrow(digests, "doc_id long, n_tokens long, ids_crc32 long, n_best long, best_crc32 long, same boolean")
+    return rows.mapInArrow(digests, "doc_id long, n_tokens long, ids_crc32 long, same boolean")
 
 
 def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
