@@ -15,15 +15,14 @@ SYMBOLS = "#*$%&|<>"
 TOP = 1000
 #: Buckets of mean word length: each is wider than the one before by a factor of e^(1/FINE), without a last one, so a quantile is off by 1/FINE of itself at most.
 FINE = 500
-#: A metric may lie so many interquartile ranges from the nearer quartile, and anywhere between the outer tenths of its
-#: group. Most groups have no symbols or repeats at all and so no range: the guard, added to the outer tenth, is what one
-#: repeated line or phrase of a short text makes.
+#: A metric may lie so many interquartile ranges beyond the nearer quartile, and anywhere between the outer thousandths of
+#: OUTER: few rows repeat anything, so in most groups the quartiles of repeats are 0 and only their outer rows say what is usual.
 SPREAD = 6
-GUARDS = {"symbols": 20, "dup_lines": 100, "repeats": 100, "word_length": 50}  # of word length a tenth, in buckets
-#: Added to a text's lines and words in the shares, so that one repeated line does not condemn a short text.
-FEW_LINES, FEW_WORDS = 8, 40
-#: Rows below which a group takes the thresholds of its language, and a language those of all rows.
-LEAST_ROWS = 200
+OUTER = {"symbols": 100, "dup_lines": 5, "repeats": 5, "word_length": 100}
+#: Symbols that do not count, and what is added to a text's lines and words in the shares, so that one symbol or one repeated line does not condemn a short text.
+FEW_SYMBOLS, FEW_LINES, FEW_WORDS = 4, 8, 40
+#: Rows that a group's fence weighs as its language's, and a language's as that of all rows: a fence of n rows counts n / (n + LENT).
+LENT = 20
 
 
 def let(value: Column, body) -> Column:
@@ -85,7 +84,7 @@ def _share(part: str, whole: str) -> Column:
 
 def metrics() -> dict[str, Column]:
     return {
-        "symbols": _share("n_symbols", "word_chars"),
+        "symbols": _share(f"greatest(0, n_symbols - {FEW_SYMBOLS})", "word_chars"),
         "dup_lines": _share("n_dup_lines", f"(n_lines + {FEW_LINES})"),
         "repeats": _share("n_repeat_words", f"(n_words + {FEW_WORDS})"),
         "word_length": F.when(F.col("n_words") > 0, F.floor(FINE * F.log(F.col("word_chars") / F.col("n_words")))).otherwise(F.lit(0).cast("long")),
@@ -99,19 +98,40 @@ def sketches(measured: DataFrame) -> DataFrame:
 
 
 def fences(sketch: DataFrame) -> DataFrame:
-    """(level, lang, source, metric, low, high, rows): limits from the quartiles and tenths of each sketch, of those merged by language, and of all merged."""
+    """(level, lang, source, metric, rows, low, high): limits from the quartiles and outer rows of each sketch, of those merged by language, and of all merged."""
     null = F.lit(None).cast("string")
     levels = sketch.select(F.lit(2).alias("level"), "lang", "source", "metric", "bucket", "n")
     levels = levels.union(sketch.select(F.lit(1), "lang", null, "metric", "bucket", "n")).union(sketch.select(F.lit(0), null, null, "metric", "bucket", "n"))
     merged = levels.groupBy("level", "lang", "source", "metric", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy("level", "lang", "source", "metric")
     ranked = merged.select("*", F.sum("n").over(group.orderBy("bucket")).alias("upto"), F.sum("n").over(group).alias("rows"))
-    at = [F.min(F.when(F.col("upto") * 20 >= F.col("rows") * k, F.col("bucket"))).alias(f"q{k}") for k in (2, 5, 15, 18)]
+    outer = F.create_map(*[F.lit(x) for kv in OUTER.items() for x in kv])[F.col("metric")]
+    shares = {"least": outer, "q1": F.lit(250), "q3": F.lit(750), "most": 1000 - outer}
+    at = [F.min(F.when(F.col("upto") * 1000 >= F.col("rows") * v, F.col("bucket"))).alias(k) for k, v in shares.items()]
     quartiles = ranked.groupBy("level", "lang", "source", "metric").agg(F.max("rows").alias("rows"), *at)
-    guard = F.create_map(*[F.lit(x) for kv in GUARDS.items() for x in kv])[F.col("metric")]
-    wide = SPREAD * (F.col("q15") - F.col("q5"))
-    low, high = F.least(F.col("q5") - wide, F.col("q2") - guard), F.greatest(F.col("q15") + wide, F.col("q18") + guard)
-    return quartiles.select("level", "lang", "source", "metric", "rows", low.alias("low"), high.alias("high"))
+    wide = SPREAD * (F.col("q3") - F.col("q1"))
+    return quartiles.select("level", "lang", "source", "metric", "rows", F.least(F.col("q1") - wide, "least").alias("low"), F.greatest(F.col("q3") + wide, "most").alias("high"))
+
+
+def limits(fence: DataFrame, groups: DataFrame) -> DataFrame:
+    """(g_lang, g_source, and a struct low, high for each metric): each group's fences, weighed with those of its language and of all rows."""
+    names = list(metrics())
+    wide = fence.groupBy("level", "lang", "source").agg(*[F.max(F.when(F.col("metric") == m, F.struct("rows", "low", "high"))).alias(m) for m in names])
+    own, lang, every = (wide.where(F.col("level") == k) for k in (2, 1, 0))
+    own = own.select(F.col("lang").alias("o_lang"), F.col("source").alias("o_source"), F.struct(*names).alias("own"))
+    lang = lang.select(F.col("lang").alias("l_lang"), F.struct(*names).alias("by_lang"))
+    every = every.select(F.struct(*names).alias("by_all"))
+    each = groups.join(own, F.col("g_lang").eqNullSafe(F.col("o_lang")) & F.col("g_source").eqNullSafe(F.col("o_source")), "left")
+    each = each.join(lang, F.col("g_lang").eqNullSafe(F.col("l_lang")), "left").join(F.broadcast(every), F.lit(True), "left")
+
+    def weighed(metric: str, side: str) -> Column:
+        out = F.col(f"by_all.{metric}.{side}")
+        for level in ("by_lang", "own"):
+            n, value = F.col(f"{level}.{metric}.rows"), F.col(f"{level}.{metric}.{side}")
+            out = F.when(n.isNull(), out).otherwise(F.floor((n * value + LENT * out) / (n + LENT)))
+        return out.alias(side)
+
+    return each.select("g_lang", "g_source", *[F.struct(weighed(m, "low"), weighed(m, "high")).alias(m) for m in names])
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", least_words: int = 10, repeat_share: int = 20, scratch: Scratch | None = None) -> DataFrame:
@@ -120,32 +140,26 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Words are [^\\x20\\x09-\\x0D]+ of the whole text (null: none). word_chars: code points in words. n_symbols:
     characters of [#*$%&|<>]. n_dup_lines: lines with a word that equal an earlier line. n_repeat_words: words in
     five-word windows found twice or more. base_failed: fewer than least_words words, or over repeat_share percent of
-    the words repeat. Else a row fails if a metric lies far outside its group's quartiles (SPREAD, GUARDS): share of
-    symbols, of repeated lines and of repeated words (high only), and mean word length (both sides).
-
-    Thresholds come from sketches over all rows: bounded counters per language and source, merged by addition, so the
-    result does not depend on partitions or order (randomised sketches such as KLL would let a verdict change from run
-    to run). A group of fewer than LEAST_ROWS rows takes its language's thresholds, a language of fewer those of all.
+    the words repeat. Else a row fails if a metric lies outside its group's fence: share of symbols, of repeated lines
+    and of repeated words (high only), and mean word length (both sides).
+
+    Fences come from sketches over all rows that the base rule leaves: bounded counters per language and source,
+    merged by addition, so the result does not depend on partitions or order (randomised sketches such as KLL would let
+    a verdict change from run to run). A fence lies SPREAD interquartile ranges beyond the quartiles, or at the outer
+    rows (OUTER) where that is wider. Small groups lean on their language and small languages on all rows, by weight
+    (LENT), without a switch.
     A null language or source is a group of its own. Repeated rows each count. An empty table gives an empty result.
     """
     scratch = scratch or Scratch(docs.sparkSession, "quality")
-    measured = scratch.table(measures(docs, id_col, text_col, lang_col, source_col), "measures")
-    limits = scratch.table(fences(sketches(measured)), "limits")
+    failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > repeat_share * F.col("n_words"))
+    measured = scratch.table(measures(docs, id_col, text_col, lang_col, source_col).withColumn("base_failed", failed), "measures")
     names = list(metrics())
-    wide = limits.groupBy("level", "lang", "source").agg(F.max("rows").alias("rows"), *[F.max(F.when(F.col("metric") == m, F.struct("low", "high"))).alias(m) for m in names])
-    # A group's limits are chosen once for each group, not for each row.
-    own, lang, every = (wide.where(F.col("level") == k) for k in (2, 1, 0))
-    lang = lang.select(F.col("lang").alias("l_lang"), F.struct("rows", *names).alias("by_lang"))
-    every = every.select(F.struct("rows", *names).alias("by_all"))
-    chosen = own.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")), "left").join(F.broadcast(every))
-    take = lambda m: F.when(F.col("rows") >= LEAST_ROWS, F.col(m)).when(F.col("by_lang.rows") >= LEAST_ROWS, F.col(f"by_lang.{m}")).otherwise(F.col(f"by_all.{m}")).alias(m)
-    chosen = chosen.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), *[take(m) for m in names])
+    groups = measured.select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source")).distinct()
+    chosen = scratch.table(limits(fences(sketches(measured.where("not base_failed"))), groups), "limits")
     rows = measured.select("*", *[v.alias(f"v_{k}") for k, v in metrics().items()])
     joined = rows.join(chosen, F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source")), "left")
-    failed = F.col("n_words") < least_words
-    failed = failed | (100 * F.col("n_repeat_words") > repeat_share * F.col("n_words"))
     verdict = {m: (F.col(f"v_{m}") > F.col(f"{m}.high")) | ((F.col(f"v_{m}") < F.col(f"{m}.low")) if m == "word_length" else F.lit(False)) for m in names}
-    out = joined.select("*", failed.alias("base_failed"), *[F.coalesce(v, F.lit(False)).alias(f"odd_{m}") for m, v in verdict.items()])
+    out = joined.select("*", *[F.coalesce(v, F.lit(False)).alias(f"odd_{m}") for m, v in verdict.items()])
     kept = ~F.col("base_failed")
     for m in names:
         kept = kept & ~F.col(f"odd_{m}")
