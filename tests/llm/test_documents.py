@@ -228,8 +228,38 @@ def test_passages_of_long_documents_in_pieces(spark, monkeypatch):
     arrow = __import__("pyarrow")
     batch = arrow.RecordBatch.from_pydict({"id": [1], "tkey": [2], "text": [text]})
     got = arrow.Table.from_batches(list(P.phrases(200)([batch]))).to_pydict()
-    starts = sorted(s for a, b in zip(got["first"], got["last"]) for s in range(a, b + 1))
+    starts = sorted((p >> 32) + k for p in got["place"] for k in range((p & 0xFFFF) + 1))
     assert starts == list(range(len(text) - 199))
+    d = spark.createDataFrame([(1, text), (1, text[50:900]), (2, text[2900:3400] + "é" * 300), (2, "é" * 200), (None, "é" * 150 + text[:300]), (None, None)], "doc_id long, text string").withColumn("tkey", F.lit(1)).withColumn("g", F.lit(2)).repartition(3)
+    rows = [tuple(r)[:2] for r in d.collect()]
+    assert sorted(map(tuple, drop_passages(d, digest=True).collect()), key=repr) == sorted(passages_by_force(rows), key=repr)
+
+
+def passages_by_force(rows):
+    raw = [(i, (t or "").encode()) for i, t in rows]
+    seen = Counter(x[k : k + 200] for _, x in raw for k in range(len(x) - 199))
+    for i, x in raw:
+        gone = np.zeros(len(x) + 1, bool)
+        for k in range(len(x) - 199):
+            if seen[x[k : k + 200]] > 1:
+                gone[k : k + 200] = True
+        yield i, len(x), int(gone.sum()), int((np.diff(np.append(False, gone).astype(int)) == 1).sum()), hashlib.sha256(bytes(b for b, g in zip(x, gone) if not g)).hexdigest()
+
+
+@pytest.mark.parametrize("forms", [4096, 3])
+def test_passages_that_differ_around(spark, monkeypatch, forms):
+    """Passages of many lengths in many surroundings, repeated rows and ids, runs of one letter and of zeros, and triggers of more phrases than one task sorts."""
+    import tracewright.llm.passages as P
+
+    monkeypatch.setattr(P, "FORMS", forms)
+    monkeypatch.setattr(P, "TOGETHER", 20_000)
+    rng = np.random.default_rng(5)
+    say = lambda n: "".join(rng.choice(list("abcdefghij \né\0"), n))
+    shared = [say(int(n)) for n in rng.integers(120, 420, 12)]
+    rows = [(k, say(int(rng.integers(0, 150))) + "".join(shared[i] + say(int(rng.integers(0, 90))) for i in rng.integers(0, 12, 3))) for k in range(60)]
+    rows += [(k, shared[0][: 100 + k] + say(30)) for k in range(100, 180)] + [(200, "x" * 900), (201, "x" * 199), (202, "\0" * 450), (3, rows[3][1]), (3, rows[3][1]), (4, rows[5][1]), (None, rows[6][1]), (None, None), (300, "")]
+    got = drop_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), digest=True).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(passages_by_force(rows), key=repr)
 
 
 def test_secrets(docs, rows, none, spark):

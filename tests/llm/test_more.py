@@ -3,17 +3,20 @@
 import hashlib
 import json
 import struct
+import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tracewright.llm.automata import infer, symbol
+from tracewright.llm.bpe import Merges
 from tracewright.llm.chat import canonical, fits, link_tool_calls
 from tracewright.llm.common import Scratch
 from tracewright.llm.graph import components
-from tracewright.llm.pieces import Model, decode_pieces, encode_pieces, product
+from tracewright.llm.pieces import decode_pieces, digests, encode_pieces, model, product
 from tracewright.llm.queries import TOOLS, tokenizer
 
 
@@ -51,40 +54,97 @@ def giant_texts():
     return [None, "", "a", " a  b ", make(900, "abcdef"), make(700, "abcdef   "), "a" * 400, make(300, "ab ") + "xyz" + make(300, "cdef"), "deadbeef" * 60]
 
 
+def coded(frame):
+    return {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in frame.collect()}
+
+
 def test_max_plus_equals_the_library(spark, unigram):
-    """With chunks far smaller than the texts, the scan gives the library's unigram encoding."""
+    """Whatever the chunks, far smaller than the texts, the scan gives the library's unigram encoding."""
     texts = giant_texts()
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    m = Model(unigram)
-    assert m.type == "unigram"
-    got = {r.doc_id: r for r in encode_pieces(docs, unigram, giant=100, chunk=37).collect()}
-    for k, t in enumerate(texts):
-        assert np.frombuffer(got[k].best, "<u4").tolist() == np.frombuffer(got[k].ids, "<u4").tolist() == m.library.encode(t or "")
+    lib = model(unigram).library
+    want = {k: lib.encode(t or "") for k, t in enumerate(texts)}
+    for giant, chunk in ((100, 37), (10**6, 10**6), (200, 150)):
+        got = encode_pieces(docs, unigram, giant=giant, chunk=chunk)
+        assert coded(got) == want
+    assert {r.doc_id: r.same for r in got.collect()} == {k: lib.decode(lib.encode(t or "")) == (t or "") for k, t in enumerate(texts)}
     assert encode_pieces(docs.where("false"), unigram).count() == 0
 
 
+def test_ties_do_not_depend_on_chunks(spark, tmp_path):
+    """Many segmentations of one score: of a run of one letter, and of pieces that add up."""
+    path = unigram_model(tmp_path / "ties.model", [("▁", -1.0), ("a", -1.0), ("aa", -2.0), ("aaa", -3.0), ("b", -1.5), ("ab", -2.5), ("ba", -2.5), ("aba", -3.5)])
+    rng = np.random.default_rng(4)
+    texts = ["a" * 1000, "".join(rng.choice(list("ab"), 800)), "".join(rng.choice(list("aab "), 900))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = coded(encode_pieces(docs, path, giant=10**6))
+    assert [len(want[k]) > 100 for k in range(3)] == [True] * 3
+    for chunk in (7, 100, 333):
+        assert coded(encode_pieces(docs, path, giant=50, chunk=chunk)) == want
+
+
 def test_transfer_matrices_compose(unigram):
-    m = Model(unigram)
+    m = model(unigram)
     rng = np.random.default_rng(1)
     for alphabet in ("abcdef", "abcdef▁"):
         text = "▁" + "".join(rng.choice(list(alphabet), 120))
         cuts = [0, 30, 75, 121]
         parts = [m.transfer(text[a : b + m.longest - 1], b - a) for a, b in zip(cuts, cuts[1:])]
         left, right = product(product(parts[0], parts[1]), parts[2]), product(parts[0], product(parts[1], parts[2]))
-        assert np.allclose(left[0, 0], m.best(text)[0]) and np.allclose(left[0, 0], right[0, 0]) and np.allclose(left[0, 0], m.transfer(text, 121)[0, 0])
+        assert left[0, 0] == right[0, 0] == m.transfer(text, 121)[0, 0] == m.ahead(text, 121, [0])[0][121]
 
 
-def test_bpe_model_round_trip(spark):
+def odd_texts():
+    rng = np.random.default_rng(9)
+    some = ["Hello  world\n é ﬁ 中 𝔘 tab\t", " lead", "trail ", "\n", " ", "  \n\n x", "\r\n\x00 龘𠀀🙂", "it's 12.5% <|endoftext|> ok", "a <|startoftext|>", "word " * 500, "x" * 3000, "é" * 700 + " " * 300]
+    return ["", None, *some, *("".join(rng.choice(list("aAbRst  \n.,'é1Ü中龘\t"), rng.integers(0, 90))) for _ in range(150))]
+
+
+def test_bpe_model_equals_the_library(spark):
+    """Texts of the character that stands for spaces, unknown characters and long units among them, in chunks of any size."""
     path = tokenizer("piece_bpe_32k.model")
-    texts = ["", None, "Hello  world\n é ﬁ 中 𝔘 tab\t", " lead", "trail ", "▁ odd", "word " * 500]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    enc = encode_pieces(docs, path, giant=1000, chunk=200).cache()
-    m = Model(path)
-    for r in enc.collect():
-        assert np.frombuffer(r.ids, "<u4").tolist() == m.library.encode(texts[r.doc_id] or "")
-    for col in ("ids", "best"):
-        back = {r.doc_id: r.text for r in decode_pieces(enc, path, ids_col=col).collect()}
-        assert back == {k: m.library.decode(m.library.encode(t or "")) for k, t in enumerate(texts)}
+    texts = [*odd_texts(), "▁ odd", "so ▁ many " * 90]
+    docs = spark.createDataFrame([*enumerate(texts), (2, texts[2]), (7, "another text of the same id " * 30), (None, "no id " * 40), (None, "no id " * 40)], "doc_id long, text string").withColumn("tkey", F.lit("clash")).withColumn("k", F.lit(1)).repartition(4)
+    lib = model(path).library
+    want = sorted([(k, tuple(lib.encode(t or "")), lib.decode(lib.encode(t or "")) == (t or "")) for k, t in [*enumerate(texts), (2, texts[2]), (7, "another text of the same id " * 30), (None, "no id " * 40), (None, "no id " * 40)]], key=repr)
+    for giant, chunk in ((10**6, 100), (50, 16), (300, 333)):
+        enc = encode_pieces(docs, path, giant=giant, chunk=chunk)
+        assert sorted([(r.doc_id, tuple(np.frombuffer(r.ids, "<u4").tolist()), r.same) for r in enc.collect()], key=repr) == want
+    back = [(r.doc_id, r.text) for r in decode_pieces(enc, path).collect()]
+    assert sorted(back, key=repr) == sorted([(k, lib.decode(list(ids))) for k, ids, _ in want], key=repr)
+    digested = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in enc.mapInArrow(digests, "doc_id long, n_tokens long, ids_crc32 long, same boolean").collect()}
+    assert digested[3] == (len(lib.encode(texts[3])), zlib.crc32(np.array(lib.encode(texts[3]), "<u4").tobytes())) and digested[0] == (0, 0)
+    assert encode_pieces(docs.where("false"), path).count() == 0
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoder_equals_the_library(name):
+    """Also special tokens' strings, which the library's plain call takes as one id."""
+    from tokenizers import Tokenizer
+
+    from tracewright.llm.tokens import Encoder
+
+    lib, mine = Tokenizer.from_file(tokenizer(name)), Encoder(tokenizer(name))
+    texts = [*odd_texts(), "it's's 's --'ll", "ÀÉ ÿŸ İſ µªº²½ «x» ¿Qué?", "Σς ΑΣ", "a\u0085b\u00a0c\u200bd", "a <|endoftext|> b"]
+    assert mine.shape and [x.tolist() for x in mine.texts(pa.array(texts, pa.string()))] == [lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert mine.encode("a <|endoftext|> b").tolist().count(lib.token_to_id("<|endoftext|>")) == 1
+    mine.shape = None
+    assert [x.tolist() for x in mine.texts(pa.array(texts, pa.string()))] == [lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_merges_equal_one_word_at_a_time():
+    rng = np.random.default_rng(0)
+    left, right = (rng.integers(0, 12, 60) for _ in range(2))
+    pairs = {p: k for k, p in enumerate(zip(left.tolist(), right.tolist()))}
+    pairs = {p: (k // 3, 5 + k % 9) for p, k in pairs.items()}  # several pairs of one order
+    merges = Merges([a for a, _ in pairs], [b for _, b in pairs], [o for o, _ in pairs.values()], [r for _, r in pairs.values()])
+    words = [rng.integers(0, 12, rng.integers(1, 30)).tolist() for _ in range(500)]
+    flat, at = merges.merged(np.array([x for w in words for x in w], np.int32), np.append(0, np.cumsum([len(w) for w in words])))
+    for k, w in enumerate(words):
+        while found := [(pairs[p][0], i) for i, p in enumerate(zip(w, w[1:])) if p in pairs]:
+            i = min(found)[1]
+            w[i : i + 2] = [pairs[w[i], w[i + 1]][1]]
+        assert flat[at[k] : at[k + 1]].tolist() == w
 
 
 def call(k, name, args):
