@@ -337,9 +337,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch.drop("parse")
     scratch.release()
     asked = met.where("asked").select("g", "place", "sure", "id", "tkey")
-    forms = scratch.table(asked.groupBy("g").agg(F.count("*").alias("forms")).where("forms > 1"), "forms")
-    any_hot = not forms.where(F.col("forms") > FORMS).isEmpty()
-    asked = asked.join(forms, "g").select("id", "tkey", F.struct("g", "place", "sure", (F.col("forms") > FORMS).alias("hot")).alias("one"))
+    crowded = asked.groupBy("g").agg(F.count("*").alias("forms")).where(F.col("forms") > FORMS).select("g", F.lit(True).alias("hot"))
+    any_hot = not crowded.isEmpty()
+    asked = asked.join(crowded, "g", "left") if any_hot else asked.withColumn("hot", F.lit(False))
+    asked = asked.select("id", "tkey", F.struct("g", "place", "sure", F.coalesce("hot", F.lit(False)).alias("hot")).alias("one"))
     asked = asked.groupBy(F.col("id").alias("kid"), F.col("tkey").alias("kkey")).agg(F.collect_list("one").alias("asked"))
     with_text = asked.join(read.dropDuplicates(["id", "tkey"]), (F.col("tkey") == F.col("kkey")) & F.col("id").eqNullSafe(F.col("kid"))).select("id", "tkey", "text", "asked")
     if any_hot:
@@ -348,14 +349,12 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = words.repartition(shuffle_partitions(spark), "g").sortWithinPartitions("g").mapInArrow(compared(length), f"id {kind}, tkey long, first int, last int")
     if any_hot:
         hot = with_text.where(F.exists("asked", lambda a: a["hot"])).mapInArrow(suffixes(length), f"s long, id {kind}, tkey long, first int")
-        common = scratch.table(hot.groupBy("s").agg(F.count("*").alias("n")).where("n > 1").select("s"), "common")
+        common = hot.groupBy("s").agg(F.count("*").alias("n")).where("n > 1").select("s")
         spans = spans.union(hot.join(common, "s", "left_semi").select("id", "tkey", "first", F.col("first").alias("last")))
-    spans = scratch.table(spans, "partly")
-    scratch.release()
     first = F.shiftright("place", 32).cast("int")
     sure = met.where("sure").select("id", "tkey", first.alias("first"), (first + F.col("place").bitwiseAND(0xFFFF).cast("int")).alias("last"))
     out = scratch.table(sure.union(spans).groupBy("id", "tkey").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("spans")), "spans")
-    for name in ("met", "forms", "asked", "common", "partly"):
+    for name in ("met", "asked"):
         scratch.drop(name)
     scratch.release()
     return out
