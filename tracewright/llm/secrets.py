@@ -46,12 +46,12 @@ def candidates(text: str, spans: list) -> list[tuple[int, int, str]]:
         at = m.start()
         while k < len(spans) and spans[k][1] <= at:
             k += 1
-        for s, e in spans[k:]:
-            if s >= m.end():
-                break
+        j = k  # spans of different kinds may overlap, but those of one kind do not: few of them touch a candidate twice
+        while j < len(spans) and spans[j][0] < m.end():
+            s, e = spans[j]
             if s - at >= 8:
                 out.append((at, s, text[at:s]))
-            at = max(at, e)
+            at, j = max(at, e), j + 1
         if m.end() - at >= 8:
             out.append((at, m.end(), text[at : m.end()]))
     return out
