@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import json
+import math
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -43,14 +45,28 @@ def fits(value, schema: dict) -> bool:
 
 
 def canonical(value) -> str:
-    """Keys sorted, no spaces, no escapes but those JSON needs."""
-    return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    """Keys sorted, no spaces, no escapes but those JSON needs; halves of surrogate pairs, which UTF-8 has no bytes for, stay escapes."""
+    out = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
+    return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m[0]):04x}", out)
+
+
+def _finite(text: str) -> float:
+    if not math.isfinite(out := float(text)):
+        raise ValueError(text)
+    return out
+
+
+def _refused(text: str):
+    raise ValueError(text)
 
 
 def parsed(text: str | None):
+    """The value of a JSON text; None where it is not JSON by the standard (NaN, Infinity, numbers beyond a double) or nested too deeply to be read and written."""
     try:
-        return json.loads(text) if text is not None else None
-    except ValueError:
+        out = json.loads(text, parse_float=_finite, parse_constant=_refused) if text is not None else None
+        canonical(out)
+        return out
+    except (ValueError, RecursionError):
         return None
 
 
@@ -93,8 +109,8 @@ def link_tool_calls(turns: DataFrame, schemas: dict[str, dict] | None = None, co
     """(conv_id, turn, place, kind, call_id, level, status, json): one row for each message, call and unanswered-for result.
 
     A message's text is what is left without its calls and results. Calls and results of a conversation are joined by
-    identifier; of several calls or results of one identifier the first by (turn, place) counts and the others stay as
-    calls without a result, or as results of their own ("orphan"). level orders calls topologically: 0 without
+    identifier; of several calls or results of one identifier the first by (turn, place, text, role) counts and the
+    others, copies of it too, stay as calls without a result, or as results of their own ("orphan"). level orders calls topologically: 0 without
     references, else one more than the highest call referred to; calls on a cycle have no level (null), references to
     unknown calls do not count. status: message; for calls valid, invalid (arguments do not fit the schema), unknown
     (no schema of that name), malformed (no JSON object), unanswered; orphan. json is canonical, so equal content is
@@ -116,18 +132,21 @@ def link_tool_calls(turns: DataFrame, schemas: dict[str, dict] | None = None, co
     for kind, col in (("call", "calls"), ("result", "results")):
         rows = some.select("conv", "turn", F.posexplode(col).alias("place", "body"), F.lit(kind).alias("kind"), "role")
         said = rows if said is None else said.union(rows)
-    said = scratch.table(said.withColumn("call_id", F.get_json_object("body", "$.id")), "said")
-    at = F.struct("turn", "place")
-    first = said.where("call_id is not null").groupBy("conv", "call_id", "kind").agg(F.min(F.struct("turn", "place", "body")).alias("one"))
+    said = said.withColumn("call_id", F.get_json_object("body", "$.id"))
+    # Copies of one row are counted and numbered, so that no task ranks all rows of a conversation.
+    said = said.groupBy(*said.columns).agg(F.count("*").cast("int").alias("n")).withColumn("copy", F.explode(F.sequence(F.lit(1), "n"))).drop("n")
+    said = scratch.table(said, "said")
+    at = F.struct("turn", "place", "body", "role")
+    first = said.where("call_id is not null").groupBy("conv", "call_id", "kind").agg(F.min(at).alias("one"))
     call, answer = (first.where(F.col("kind") == k).select(F.col("conv").alias("l_conv"), F.col("call_id").alias("l_id"), F.col("one").alias(k)) for k in ("call", "result"))
     same = lambda: F.col("conv").eqNullSafe(F.col("l_conv")) & (F.col("call_id") == F.col("l_id"))
     calls = said.where("kind = 'call'").join(answer, same(), "left").drop("l_conv", "l_id")
     # Of repeated identifiers only the first call gets the result.
-    firsts = call.select(F.col("l_conv").alias("f_conv"), F.col("l_id").alias("f_id"), F.struct("call.turn", "call.place").alias("f_at"))
+    firsts = call.select(F.col("l_conv").alias("f_conv"), F.col("l_id").alias("f_id"), F.col("call").alias("f_at"))
     calls = calls.join(firsts, F.col("conv").eqNullSafe(F.col("f_conv")) & (F.col("call_id") == F.col("f_id")), "left")
-    calls = calls.select("conv", "turn", "place", "kind", "role", F.lit(None).cast("string").alias("text"), "call_id", "body", F.when(at.eqNullSafe(F.col("f_at")), F.col("result.body")).alias("result"))
-    used = call.join(answer.select(F.col("l_conv").alias("a_conv"), F.col("l_id").alias("a_id"), F.struct("result.turn", "result.place").alias("a_at")), F.col("l_conv").eqNullSafe(F.col("a_conv")) & (F.col("l_id") == F.col("a_id"))).select("a_conv", "a_id", "a_at")
-    orphans = said.where("kind = 'result'").join(used, F.col("conv").eqNullSafe(F.col("a_conv")) & (F.col("call_id") == F.col("a_id")) & at.eqNullSafe(F.col("a_at")), "left_anti")
+    calls = calls.select("conv", "turn", "place", "kind", "role", F.lit(None).cast("string").alias("text"), "call_id", "body", F.when(at.eqNullSafe(F.col("f_at")) & (F.col("copy") == 1), F.col("result.body")).alias("result"))
+    used = call.join(answer.select(F.col("l_conv").alias("a_conv"), F.col("l_id").alias("a_id"), F.col("result").alias("a_at")), F.col("l_conv").eqNullSafe(F.col("a_conv")) & (F.col("l_id") == F.col("a_id"))).select("a_conv", "a_id", "a_at")
+    orphans = said.where("kind = 'result'").join(used, F.col("conv").eqNullSafe(F.col("a_conv")) & (F.col("call_id") == F.col("a_id")) & at.eqNullSafe(F.col("a_at")) & (F.col("copy") == 1), "left_anti")
     orphans = orphans.select("conv", "turn", "place", "kind", "role", F.lit(None).cast("string").alias("text"), "call_id", "body", F.lit(None).cast("string").alias("result"))
     lines = messages.union(calls).union(orphans)
     types = dict(lines.dtypes)

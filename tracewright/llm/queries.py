@@ -66,8 +66,19 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.mapInArrow(digests, "doc_id long, n_tokens long, ids_crc32 long, same boolean")
 
 
+def exchanges(turns: DataFrame) -> DataFrame:
+    """The conversations, whose texts hold no calls, with every exchange as a tool call too: what the user says is a call of `search` that refers to the user's call before it, what the assistant says next is its result."""
+    named = lambda back: F.concat(F.lit("c"), F.col("turn") - back)
+    after = F.when(F.col("turn") >= 2, F.struct(named(2).alias("$ref")))
+    call = F.to_json(F.struct(named(0).alias("id"), F.lit("search").alias("name"), F.struct(F.col("text").alias("query"), after.alias("after")).alias("arguments")))
+    result = F.to_json(F.struct(named(1).alias("id"), F.col("text").alias("content")))
+    said = F.when(F.col("role") == "user", F.concat("text", F.lit("<tool_call>"), call, F.lit("</tool_call>")))
+    said = said.when(F.col("role") == "assistant", F.concat("text", F.lit("<tool_result>"), result, F.lit("</tool_result>")))
+    return turns.withColumn("text", said.otherwise(F.col("text")))
+
+
 def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_tool_calls(spark.read.parquet(f"{sf_dir}/conversations.parquet"), TOOLS)
+    return link_tool_calls(exchanges(spark.read.parquet(f"{sf_dir}/conversations.parquet")), TOOLS)
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
