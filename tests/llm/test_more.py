@@ -175,6 +175,27 @@ def test_tool_calls(spark):
     assert link_tool_calls(df.where("false")).count() == 0
 
 
+def test_tool_calls_of_odd_json(spark):
+    """Half surrogates, deep nesting, numbers that are not JSON, nulls everywhere, and repeated rows, of which the first alone is linked."""
+    odd = ['"\\ud800"', "[" * 100_000, "NaN", "1e999", "-Infinity", "9" * 5000, '{"a":1e5}']
+    body = lambda k, x: f'<tool_call>{{"id":"{k}","name":"search","arguments":{{"query":"q","x":{x}}}}}</tool_call>'
+    turns = [(1, k, "assistant", body(f"o{k}", x)) for k, x in enumerate(odd)]
+    turns += [(2, 0, "assistant", call("a", "search", {"query": "q"}))] * 3 + [(2, 1, "tool", answer("a", "r"))] * 2
+    turns += [(3, 0, "assistant", call("a", "search", {"query": "1"})), (3, 0, "assistant", call("a", "search", {"query": "2"})), (3, 0, None, answer("a", "\ud83d\ude00")), (None, None, None, None), (None, None, "user", call("n", "search", {})), (None, 1, "tool", answer("n", None))]
+    out = link_tool_calls(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(3), TOOLS).collect()
+    status = lambda c: sorted((r.turn, r.status) for r in out if r.conv_id == c and r.kind != "message")
+    assert [r.status for r in sorted((r for r in out if r.conv_id == 1 and r.kind == "call"), key=lambda r: r.turn)] == ["unanswered", *["malformed"] * 5, "unanswered"]
+    assert '\\ud800' in next(r.json for r in out if r.conv_id == 1 and r.turn == 0 and r.kind == "call")
+    assert status(2) == [(0, "unanswered"), (0, "unanswered"), (0, "valid"), (1, "orphan")]
+    assert status(3) == [(0, "unanswered"), (0, "valid")]
+    one = json.loads(next(r.json for r in out if r.conv_id == 3 and r.status == "valid"))
+    assert one["arguments"] == {"query": "1"} and one["result"] == "😀"
+    assert sorted((r.status, r.call_id) for r in out if r.conv_id is None and r.kind != "message") == [("invalid", "n")]
+    assert sum(r.kind == "message" for r in out) == len(turns)
+    for r in out:
+        json.loads(r.json, parse_constant=lambda x: pytest.fail(x))
+
+
 def test_schema_checks():
     s = {"type": "object", "required": ["a"], "properties": {"a": {"type": "integer"}, "b": {"type": "array", "items": {"enum": [1, 2]}}}, "additionalProperties": False}
     assert fits({"a": 1, "b": [2]}, s) and not fits({"a": True}, s) and not fits({"b": []}, s) and not fits({"a": 1, "c": 1}, s) and not fits({"a": 1, "b": [3]}, s)
