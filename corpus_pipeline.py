@@ -23,8 +23,9 @@ SIGN = "[SECRET]"
 
 
 def _chosen(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """The rows of docs whose id is marked kept; the ids of a corpus are unique and not null."""
-    return docs.join(marks.where("kept").select("doc_id"), "doc_id", "left_semi").select(*COLUMNS)
+    """The rows of docs whose id is marked kept. A null id is an id like any other; of rows of one id all stay if one does."""
+    kept = marks.where("kept").select(F.col("doc_id").alias("kept_id"))
+    return docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
