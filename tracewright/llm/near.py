@@ -289,6 +289,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     edges = _verify(tested, read, words, num, den, kind, scratch, 0)
     comp = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch, "cc0")
     k = step = 0
+    block = left = None
     while True:
         k += 1
         parts = live.join(comp.select(F.col("node").alias("id"), "component").hint("merge"), "id", "left").select("key", "id", "salts", F.coalesce("component", "id").alias("c"))
@@ -298,14 +299,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         most = parts.agg(F.max("others")).first()[0]
         if not most:
             break
-        # All pairs of different components are held together in this round, unless a bucket has more to ask than a block.
-        asked = parts.where("c <> largest")
-        if most > BLOCK:
-            asked = asked.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("rank") <= BLOCK)
-        asked = scratch.table(asked.select("key", "id", "salts", "c"), f"asked-{k}")
-        met = _likely(parts, asked, full, num, den, rows * bands, PARTNERS[step], kind)
+        if step == 0:
+            # All pairs of different components are held together in this round, unless a bucket has more to ask than a block.
+            asked, large = parts.where("c <> largest"), most > BLOCK
+            if large:
+                asked = asked.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("rank") <= BLOCK)
+            asked = block = scratch.table(asked.select("key", "id", "salts", "c"), f"asked-{k}")
+            held = parts
+        else:
+            # Of a block's rows only those with likely partners left are asked again: any pair not yet verified has one of them.
+            asked = parts.join(block.select("key", "id").hint("merge"), ["key", "id"], "left_semi").join(left.hint("merge"), "id", "left_semi")
+            asked = scratch.table(asked.select("key", "id", "salts", "c"), f"again-{k}")
+            held = parts.join(asked.select("key").distinct().hint("merge"), "key", "left_semi")
+        met = _likely(held, asked, full, num, den, rows * bands, PARTNERS[step], kind)
         met = scratch.table(met.withColumn("rank", F.row_number().over(Window.partitionBy("hub").orderBy(F.desc("score"), "other"))), f"met-{k}")
-        more = not met.where((F.col("score") < 0) | (F.col("rank") > PARTNERS[step])).isEmpty()
+        left = scratch.table(met.where((F.col("score") < 0) | (F.col("rank") > PARTNERS[step])).select(F.col("hub").alias("id")).distinct(), f"left-{k}")
         pairs = met.where((F.col("score") >= 0) & (F.col("rank") <= PARTNERS[step])).select(F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b")).distinct()
         pairs = scratch.table(pairs.join(tested.hint("merge"), ["a", "b"], "left_anti"), f"pairs-{k}")
         scratch.drop(f"met-{k}")
@@ -313,15 +321,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         edges, tested = edges.union(found), tested.union(pairs)
         if not found.isEmpty():
             comp = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch, f"cc{k}")
-        if more:
+        if not left.isEmpty():
             step += 1
             live = parts.select("key", "id", "salts")
-        elif most > BLOCK:
+        elif large:
             step = 0
-            live = scratch.table(parts.select("key", "id", "salts").join(asked.select("key", "id").hint("merge"), ["key", "id"], "left_anti"), f"live-{k}")
+            live = scratch.table(parts.select("key", "id", "salts").join(block.select("key", "id").hint("merge"), ["key", "id"], "left_anti"), f"live-{k}")
         else:
             break
-        scratch.drop(f"asked-{k}")
         if k > 1:
             scratch.drop(f"parts-{k - 1}")
         scratch.release()
