@@ -10,6 +10,7 @@ from .common import Scratch
 from .exact import exact_duplicates
 from .lines import drop_lines, keep_bitmaps
 from .near import near_duplicates
+from .oracles import ORACLES  # noqa: F401  read by __spark_entry__.py
 from .packing import pack
 from .passages import drop_passages
 from .pieces import digests, encode_pieces
@@ -94,7 +95,3 @@ def op10_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_line_dedup, op3_exact_dedup, op4_token_files, op5_secret_scan, op6_sentencepiece, op7_tool_calls, op8_best_fit_packing, op9_quality_rules, op10_passage_dedup)}
-
-SPACE_CLASS = r"[\x20\x09-\x0D]"
-
-ORACLES: dict[str, str] = {}
