@@ -237,3 +237,82 @@ def test_settings():
         config.Settings(targets=["x"])
     assert files.parse_datasets("/a/b:c;/d/e") == [("/a/b", "c"), ("/d", "e")]
     assert json.loads("{}") == {}
+
+
+def test_staged_write_keeps_the_old_table_where_renaming_fails(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    tmp_path.chmod(0o755)
+    (tmp_path / "t.other").mkdir()
+    writeback.staged_write(spark.read.parquet(path).where("id > 0"), path)
+    assert spark.read.parquet(path).count() == 2
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t", "t.other"]
+
+
+def test_done_markers(spark, tmp_path):
+    path = str(tmp_path / "done")
+    samples = spark.createDataFrame([("a",), ("b",), ("c",)], "sample_id string")
+    writeback.mark_done(samples.where("sample_id = 'a'"), path, ["sample_id"])
+    writeback.mark_done(samples.where("sample_id <> 'c'"), path, ["sample_id"])
+    assert [r.sample_id for r in writeback.without_done(samples, spark.read.parquet(path), ["sample_id"]).collect()] == ["c"]
+
+
+def test_episode_files_where_the_table_records_them(spark, tmp_path):
+    rows = [(s, e, f, float(f)) for s, e, n in (("aloha", 0, 3), ("aloha", 7, 2), ("droid", 0, 4)) for f in reversed(range(n))]
+    frames = spark.createDataFrame(rows, "source_dataset string, episode_index long, frame_index long, value double")
+    root = f"file://{tmp_path}"
+    listing = files.write_episodes(frames, root).collect()
+    assert sorted((r.source_dataset, r.episode_index, r.num_frames) for r in listing) == [("aloha", 0, 3), ("aloha", 7, 2), ("droid", 0, 4)]
+    import pyarrow.parquet as pq
+
+    for r in listing:
+        assert pq.ParquetFile(tmp_path / r.parquet_path).read().column("frame_index").to_pylist() == list(range(r.num_frames))
+    assert not list(tmp_path.rglob("*.tmp"))
+    found = files.episode_files(spark, root)
+    episodes = spark.createDataFrame([(0, "data/droid/chunk-000/episode_000000.parquet"), (7, "gone"), (9, None)], "episode_index long, parquet_path string")
+    got = {r.episode_index: r.path and r.path.split("/data/")[1] for r in files.resolve_episode_paths(episodes, found).collect()}
+    assert got == {0: "droid/chunk-000/episode_000000.parquet", 7: "aloha/chunk-000/episode_000007.parquet", 9: None}
+
+
+def test_json_files(spark, tmp_path):
+    import json
+
+    tasks = spark.createDataFrame([(1, "é pen"), (0, "cup"), (2, None)], "k int, task string")
+    files.write_json_object(tasks, str(tmp_path / "meta" / "tasks.json"), "k", F.col("task"))
+    text = (tmp_path / "meta" / "tasks.json").read_text()
+    assert json.loads(text) == {"0": "cup", "1": "é pen", "2": None} and text.startswith('{\n  "0": "cup"')
+    segments = spark.createDataFrame([(e, s) for e in (2, 0, 1) for s in (1, 0)], "episode_index long, segment_index long").repartition(4)
+    files.write_json_lines(segments, str(tmp_path / "segments"), order=["episode_index", "segment_index"])
+    lines = [json.loads(x) for p in sorted((tmp_path / "segments").glob("part-*")) for x in p.read_text().splitlines()]
+    assert [(x["episode_index"], x["segment_index"]) for x in lines] == [(e, s) for e in range(3) for s in range(2)]
+
+
+def test_video_headers_without_pixels(spark, tmp_path):
+    import struct
+
+    box = lambda kind, body: struct.pack(">I4s", len(body) + 8, kind) + body
+    mdhd = box(b"mdhd", bytes(12) + struct.pack(">II", 1000, 4000) + bytes(4))
+    hdlr = box(b"hdlr", bytes(8) + b"vide" + bytes(12))
+    stbl = box(b"stbl", box(b"stsz", bytes(8) + struct.pack(">I", 100)))
+    tracks = box(b"moov", box(b"trak", box(b"mdia", mdhd + hdlr + box(b"minf", stbl))))
+    folder = tmp_path / "s1"
+    folder.mkdir()
+    (folder / "Frame_b.mp4").write_bytes(box(b"ftyp", b"isom") + struct.pack(">I4sQ", 1, b"mdat", 16 + 500_000) + bytes(500_000) + tracks)
+    (folder / "Frame_a.mp4").write_bytes(b"junk")
+    got = {r.path.rsplit("/", 1)[1]: (r.fps, r.nframes) for r in binary.video_info(spark, str(tmp_path)).collect()}
+    assert got == {"Frame_b.mp4": (25.0, 100), "Frame_a.mp4": (30.0, 0)}
+    assert [(r.sample_id, r.video.rsplit("/", 1)[1]) for r in files.sample_folders(spark, str(tmp_path)).collect()] == [("s1", "Frame_a.mp4")]
+
+
+def test_settings_in_sections(tmp_path):
+    s = config.Settings(targets="memory, subtask", level="critical")
+    assert s.targets == ["memory", "subtask"] and s.level == "CRITICAL"
+    yaml = pytest.importorskip("yaml")
+    (tmp_path / "c.yaml").write_text(yaml.safe_dump({"run": {"mode": "fine", "tries": 3}, "windowing": {"step_sec": 4.0}, "tries": 2}))
+    s = config.Settings.load(str(tmp_path / "c.yaml"))
+    assert (s.mode, s.tries, s.step_sec) == ("fine", 2, 4.0)
+
+
+def test_outliers_are_not_finite_or_far(spark):
+    rows = [(k, [1.0 + k % 3, 2.0]) for k in range(200)] + [(500, [float("nan"), 2.0]), (501, [1000.0, 2.0])]
+    assert sorted(r.episode_index for r in validate.outliers(spark.createDataFrame(rows, "episode_index long, v array<double>"), ["episode_index"], "v").collect()) == [500, 501]

@@ -9,7 +9,7 @@ from tracewright.sources.files import parse_datasets
 
 # Accepted names.
 MODE_ALIASES = {"object_switch": "coarse", "action_phase": "fine"}
-MODES, TARGETS, BACKENDS, LEVELS = ["coarse", "fine"], ["subtask", "memory"], ["dummy", "remote"], ["DEBUG", "INFO", "WARNING", "ERROR"]
+MODES, TARGETS, BACKENDS, LEVELS = ["coarse", "fine"], ["subtask", "memory"], ["dummy", "remote"], ["DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL"]
 
 
 @dataclass
@@ -26,6 +26,8 @@ class Settings:
 
     def __post_init__(self):
         self.mode = MODE_ALIASES.get(self.mode.lower(), self.mode.lower())
+        if isinstance(self.targets, str):
+            self.targets = self.targets.split(",")
         self.targets = list(dict.fromkeys(t.strip().lower() for t in self.targets))
         self.level = self.level.upper()
         for name, value, known in (("mode", self.mode, MODES), ("backend", self.backend, BACKENDS), ("level", self.level, LEVELS), *(("target", t, TARGETS) for t in self.targets)):
@@ -43,5 +45,7 @@ class Settings:
 
             with open(path, encoding="utf-8") as f:
                 got = yaml.safe_load(f) or {}
-            return cls(**{k: v for k, v in got.items() if k in cls.__dataclass_fields__})
+            # Settings may stand in sections; of one name the one outside sections counts.
+            flat = {k: v for section in got.values() if isinstance(section, dict) for k, v in section.items()} | got
+            return cls(**{k: v for k, v in flat.items() if k in cls.__dataclass_fields__})
         return cls(datasets=parse_datasets(os.environ.get("DATASETS", "")))

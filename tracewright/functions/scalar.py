@@ -165,3 +165,18 @@ def timeline(start: Column, end: Column, total: Column, ordinal: Column, x0: int
 
     left = at(start)
     return {"sx": left, "ex": F.greatest(left + 2, at(end)), "colour": ordinal % 7}
+
+
+def decode_text(raw: Column) -> Column:
+    """Bytes as text without what is not UTF-8 and without white space at the ends; null stays null."""
+    text = F.when(F.is_valid_utf8(raw.cast("string")), raw.cast("string")).otherwise(F.replace(F.make_valid_utf8(raw.cast("string")), F.lit("\ufffd"), F.lit("")))
+    return F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+
+
+def video_pointers(cameras: list[str], paths: str, frame: Column) -> dict[str, Column]:
+    """video.<camera>.path and video.<camera>.frame_index of each camera; a camera without a path has neither."""
+    out = {}
+    for cam in cameras:
+        path = F.try_element_at(F.col(paths), F.lit(cam))
+        out |= {f"video.{cam}.path": path, f"video.{cam}.frame_index": F.when(path.isNotNull(), frame.cast("bigint"))}
+    return out

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewright import schemas
+
 # Annotation states in order of progress.
 STATUS_ORDER = ["auto_placeholder", "auto", "vlm_pseudo", "human_verified"]
 
@@ -17,6 +19,52 @@ def violations(rows: DataFrame, keys: list[str], rules: dict[str, Column]) -> Da
     return rows.select(*keys, F.explode(broken).alias("rule"))
 
 
+#: Kinds of Spark types that a declared one stands for.
+KINDS = {"bigint": "int", "int": "int", "smallint": "int", "tinyint": "int", "double": "number", "float": "number"}
+
+
+def _kind(t: str) -> str:
+    t = t.lower().replace(" ", "")
+    return "number" if t.startswith("decimal") else KINDS.get(t, t.split("<")[0])
+
+
+def schema_violations(rows: DataFrame, record: str, keys: list[str]) -> DataFrame:
+    """keys, rule: each rule that a row breaks of a kind of record (see schemas.REQUIRED, ALLOWED and RANGES).
+
+    Rules are "<column>: missing" for required columns that are absent or null (a nested one's path may be a column of
+    its own), "<column>: type" where a column's type is of another kind (whole numbers count as numbers), "<column>:
+    value" for values that are not allowed, where the type fits. A null in a column that is not required breaks nothing.
+    """
+    have = dict(rows.dtypes)
+    declared = dict(schemas.fields(schemas.RECORDS[record]))
+
+    def found(name: str) -> Column | None:
+        if name in have:
+            return F.col(f"`{name}`")
+        top, _, rest = name.partition(".")
+        return F.col(name) if rest and have.get(top, "").startswith("struct<") and rest in rows.select(f"{top}.*").columns else None
+
+    rules = {f"{c}: missing": F.lit(False) if found(c) is None else found(c).isNotNull() for c in schemas.REQUIRED[record]}
+    for c, t in declared.items():
+        if c in have and _kind(have[c]) != _kind(t) and not (_kind(t) == "number" and _kind(have[c]) == "int"):
+            rules[f"{c}: type"] = found(c).isNull()
+    for c, values in schemas.ALLOWED[record].items():
+        if c in have and f"{c}: type" not in rules:
+            rules[f"{c}: value"] = found(c).isNull() | found(c).isin(values)
+    for c, (low, high) in schemas.RANGES.get(record, {}).items():
+        if c in have and f"{c}: type" not in rules:
+            rules[f"{c}: value"] = found(c).isNull() | found(c).between(low, high)
+    return violations(rows, keys, rules)
+
+
+def outliers(frames: DataFrame, keys: list[str], vector: str, spread: float = 6.0) -> DataFrame:
+    """keys, dim, value: values further than `spread` standard deviations from their dimension's mean, and those that are not finite. One aggregate of one row a dimension is joined back."""
+    flat = frames.select(*keys, F.posexplode(vector).alias("dim", "value")).withColumn("value", F.col("value").cast("double"))
+    fine = ~F.isnan("value") & (F.abs("value") < float("inf"))
+    by = flat.where(fine).groupBy("dim").agg(F.avg("value").alias("_m"), F.stddev_pop("value").alias("_s"))
+    return flat.join(by, "dim", "left").where(~fine | (F.abs(F.col("value") - F.col("_m")) > spread * F.col("_s"))).select(*keys, "dim", "value")
+
+
 def contiguity(frames: DataFrame, keys: list[str]) -> DataFrame:
     """Episodes whose frame_index is not 0..n-1 without gaps or repeats."""
     g = frames.groupBy(*keys).agg(F.count("*").alias("n"), F.count_distinct("frame_index").alias("d"), F.min("frame_index").alias("lo"), F.max("frame_index").alias("hi"))

@@ -47,7 +47,17 @@ def staged_write(df: DataFrame, path: str, partition_by: list[str] | None = None
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(stage)
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(hadoop(path)):
-        fs.rename(hadoop(path), hadoop(old))
-    fs.rename(hadoop(stage), hadoop(path))
-    fs.delete(hadoop(old), True)
+    there = fs.exists(hadoop(path))
+    if there and not fs.rename(hadoop(path), hadoop(old)):
+        fs.delete(hadoop(stage), True)
+        raise OSError(f"{path} could not be set aside; it is as it was")
+    if not fs.rename(hadoop(stage), hadoop(path)):
+        back = not there or fs.rename(hadoop(old), hadoop(path))
+        raise OSError(f"{stage} could not be moved to {path}; " + ("the old table is back" if back else f"the old table is at {old}"))
+    if there:
+        fs.delete(hadoop(old), True)
+
+
+def mark_done(samples: DataFrame, path: str, keys: list[str]) -> None:
+    """Adds finished samples to the table at path, which without_done leaves out; marking twice is harmless."""
+    samples.select(*keys).distinct().write.mode("append").parquet(path)

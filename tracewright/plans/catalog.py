@@ -64,10 +64,10 @@ def annotated(spark: SparkSession, d: str) -> DataFrame:
     w = Window.partitionBy("conv_id").orderBy("turn")
     c = table(spark, d, "conversations").select("conv_id", "turn", "role", "text", F.length("text").alias("n"))
     end = F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return c.select(F.col("conv_id").alias("episode_index"), F.col("turn").alias("segment_index"), (end - F.col("n")).alias("start_frame"), (end - 1).alias("end_frame"), F.col("role").alias("subtask"), F.substring("text", 1, 40).alias("summary"))
+    return c.select(F.col("conv_id").alias("episode_index"), F.col("turn").alias("segment_index"), (end - F.col("n")).alias("start_frame"), (end - 1).alias("end_frame"), F.col("role").alias("subtask"), F.col("text").alias("summary"))
 
 
-ANNOTATED = "annotated AS (SELECT conv_id AS episode_index, turn AS segment_index, (sum(length(text)) OVER w - length(text))::BIGINT AS start_frame, (sum(length(text)) OVER w - 1)::BIGINT AS end_frame, role AS subtask, substring(text, 1, 40) AS summary FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING))"
+ANNOTATED = "annotated AS (SELECT conv_id AS episode_index, turn AS segment_index, (sum(length(text)) OVER w - length(text))::BIGINT AS start_frame, (sum(length(text)) OVER w - 1)::BIGINT AS end_frame, role AS subtask, text AS summary FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn ROWS UNBOUNDED PRECEDING))"
 
 
 def planned(spark: SparkSession, d: str) -> DataFrame:
@@ -176,6 +176,30 @@ def p12_p13_p14_vectors(spark, d):
     return e.select("vec_id", F.get(rows, 0).cast("array<double>").alias("row0"), F.get(rows, 1).cast("array<double>").alias("row1"), F.expr("cast(size(v) div 14 as bigint)").alias("full_rows"), S.reshape(F.col("v"), 16).isNotNull().alias("fits_16"))
 
 
+@query("SELECT doc_id, trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS task, 'fold the shirt' AS given, lang AS kept FROM documents")
+def p10_p11_decoded_and_given_tasks(spark, d):
+    t = table(spark, d, "documents")
+    broken = F.concat(F.unhex(F.lit("FF20")), F.encode(F.coalesce("text", F.lit("")), "utf-8"), F.unhex(F.lit("0AC3")))
+    return t.select("doc_id", S.decode_text(broken).alias("task"), S.override(F.col("lang"), " fold the shirt ").alias("given"), S.override(F.col("lang"), "  ").alias("kept"))
+
+
+@query("SELECT conv_id, CASE WHEN conv_id % 2 = 0 THEN list(turn ORDER BY turn)::DOUBLE[] ELSE list(0.0::DOUBLE ORDER BY turn) END AS reward, list(1.0::DOUBLE ORDER BY turn) AS discount FROM conversations GROUP BY conv_id")
+def p14_default_arrays(spark, d):
+    c = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.col("turn").cast("double"))).alias("turns"))
+    given = F.when(F.col("conv_id") % 2 == 0, F.col("turns"))
+    return c.select("conv_id", S.array_or(given, F.lit(0.0), F.size("turns")).alias("reward"), S.array_or(F.lit(None).cast("array<double>"), F.lit(1.0), F.size("turns")).alias("discount"))
+
+
+@query(f"WITH {FRAMES} SELECT episode_index, frame_index, format('videos/episode_{{:06d}}_cam_high.mp4', episode_index) AS high, frame_index AS high_frame, CASE WHEN episode_index % 2 = 0 THEN format('videos/episode_{{:06d}}_cam_left_wrist.mp4', episode_index) END AS left_wrist, CASE WHEN episode_index % 2 = 0 THEN frame_index END AS left_frame FROM frames")
+def p6_video_pointers(spark, d):
+    cams = ["cam_high", "cam_left_wrist"]
+    name = lambda c: F.concat(F.lit("videos/"), S.camera_file(F.col("episode_index"), c))
+    held = F.array_compact(F.array(*[F.when(F.lit(c == "cam_high") | (F.col("episode_index") % 2 == 0), F.struct(F.lit(c).alias("key"), name(c).alias("value"))) for c in cams]))
+    f = frames(spark, d).withColumn("video_paths", F.map_from_entries(held))
+    f = f.withColumns(S.video_pointers(cams, "video_paths", F.col("frame_index")))
+    return f.select("episode_index", F.col("frame_index").cast("long").alias("frame_index"), F.col("`video.cam_high.path`").alias("high"), F.col("`video.cam_high.frame_index`").alias("high_frame"), F.col("`video.cam_left_wrist.path`").alias("left_wrist"), F.col("`video.cam_left_wrist.frame_index`").alias("left_frame"))
+
+
 @query("SELECT conv_id, last(turn % 2 = 1 ORDER BY turn) AS success, count(*) AS n FROM conversations GROUP BY 1")
 def p15_success(spark, d):
     c = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", (F.col("turn") % 2 == 1).alias("t")))).alias("x"))
@@ -313,10 +337,10 @@ def j6_u3_pending_windows(spark, d):
     return windows.pending(p, p.where("window_id % 3 = 0"), EP).select("episode_index", "window_id")
 
 
-@query("SELECT o_custkey, c_name, count(*) AS orders, round(sum(o_totalprice), 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL")
+@query("SELECT format('episode_{:06d}', conv_id) AS sample_id, conv_id, d.lang, d.source FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN documents d ON doc_id = conv_id")
 def j7_metadata_join(spark, d):
-    o = table(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("orders"), F.sum("o_totalprice").alias("t"))
-    return o.join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("o_custkey", "c_name", "orders", F.round("t", 2).alias("total"))
+    samples = table(spark, d, "conversations").select("conv_id").distinct().withColumn("sample_id", S.episode_name(F.col("conv_id")))
+    return files.with_metadata(samples, long_episodes(spark, d)).select("sample_id", "conv_id", "lang", "source")
 
 
 @query(f"WITH {ANNOTATED} SELECT episode_index, segment_index::INT AS window_id, subtask AS target_subtask FROM annotated")
@@ -435,10 +459,76 @@ def v1_required_and_ranges(spark, d):
     return validate.violations(table(spark, d, "labels"), ["doc_id"], {"quality": F.col("quality").between(1, 5), "clean": F.col("toxic") == 0, "id": F.col("doc_id").isNotNull()})
 
 
-@query("SELECT page_id::VARCHAR AS sample_id, 'text' AS modality, url AS source_url, regexp_replace(left(html, 30), '[^\\p{L}\\p{N}_-]', '_', 'g') AS title FROM pages")
+@query("SELECT page_id::VARCHAR AS sample_id, 'text' AS modality, url AS source_url, regexp_replace(html, '[^\\p{L}\\p{N}_-]', '_', 'g') AS title FROM pages")
 def v1_web_records(spark, d):
     p = table(spark, d, "pages")
-    return p.select(F.col("page_id").cast("string").alias("sample_id"), F.lit("text").alias("modality"), F.col("url").alias("source_url"), S.sanitize(F.substring("html", 1, 30)).alias("title"))
+    return p.select(F.col("page_id").cast("string").alias("sample_id"), F.lit("text").alias("modality"), F.col("url").alias("source_url"), S.sanitize(F.col("html")).alias("title"))
+
+
+def rules_sql(source: str, keys: str, rules: dict[str, str]) -> str:
+    """SQL of the rows of source that break rules, given as conditions of breaking."""
+    return " UNION ALL ".join(f"SELECT {keys}, '{name}' AS rule FROM ({source}) WHERE {broken}" for name, broken in rules.items())
+
+
+@query(f"WITH {FRAMES}, r AS (SELECT episode_index, frame_index, CASE WHEN event_type = 'error' THEN NULL ELSE event_type END AS subtask, CASE WHEN event_type = 'view' THEN 'odd' ELSE 'joint' END AS control_mode, floor(value)::BIGINT % 7 AS quality FROM frames) " + rules_sql("SELECT * FROM r", "episode_index, frame_index", {"subtask: missing": "subtask IS NULL", "control_mode: value": "control_mode = 'odd'", "quality: missing": "quality IS NULL", "quality: value": "quality NOT BETWEEN 1 AND 5", "success: missing": "true", "domain: type": "true"}))
+def v1_robot_episode(spark, d):
+    f = frames(spark, d)
+    vector = F.array(F.lit(0.0).cast("float"))
+    rows = f.select("episode_index", F.col("frame_index").cast("long").alias("frame_index"), S.timestamp(F.col("frame_index"), FPS).alias("timestamp"), vector.alias("observation.state"), vector.alias("action"), F.lit("t").alias("task"), F.when(F.col("event_type") != "error", F.col("event_type")).alias("subtask"), F.lit("aloha").alias("robot_type"), F.when(F.col("event_type") == "view", "odd").otherwise("joint").alias("control_mode"), (F.floor("value") % 7).cast("int").alias("quality"), F.lit(500).alias("speed_bin"), F.lit(False).alias("mistake"), F.lit("droid").alias("source_dataset"), F.lit(1).alias("domain"))
+    return validate.schema_violations(rows, "robot_episode", ["episode_index", "frame_index"])
+
+
+@query(f"WITH {ANNOTATED} " + rules_sql("SELECT * FROM annotated", "episode_index, segment_index", {"task: missing": "segment_index = 0", "annotation_status: value": "subtask = 'user'"}))
+def v1_segment_annotation(spark, d):
+    a = annotated(spark, d).withColumns({"task": F.when(F.col("segment_index") > 0, "t"), "annotation_status": F.when(F.col("subtask") == "user", "auto").otherwise("reviewed")})
+    return validate.schema_violations(a, "segment_annotation", ["episode_index", "segment_index"])
+
+
+@query(f"WITH {ANNOTATED} " + rules_sql("SELECT * FROM annotated", "episode_index, segment_index", {"task: missing": "true", "summary: missing": "subtask = 'assistant'", "annotation_status: value": "subtask = 'user'", "change_event_type: type": "true"}))
+def v1_memory_segment(spark, d):
+    a = annotated(spark, d).withColumns({"summary": F.when(F.col("subtask") != "assistant", F.col("summary")), "annotation_status": F.when(F.col("subtask") == "user", "auto_placeholder").otherwise("human_verified"), "change_event_type": F.lit("text")})
+    return validate.schema_violations(a, "memory_segment", ["episode_index", "segment_index"])
+
+
+@query(rules_sql("SELECT doc_id::VARCHAR AS sample_id, * FROM documents", "sample_id", {"camera_view: value": "lang NOT IN ('en', 'de')", "video.path: missing": "n_chars > 2000", "source_dataset: missing": "true"}))
+def v1_human_video(spark, d):
+    t = table(spark, d, "documents")
+    video = F.struct(F.when(F.col("n_chars") <= 2000, F.concat(F.col("doc_id").cast("string"), F.lit(".mp4"))).alias("path"), F.lit(0).cast("long").alias("frame_index"))
+    view = F.when(F.col("lang") == "en", "egocentric").when(F.col("lang") == "de", "third_person").otherwise(F.col("lang"))
+    rows = t.select(F.col("doc_id").cast("string").alias("sample_id"), *[F.lit(0).alias(c) for c in ("video_index", "clip_index", "frame_index", "timestamp")], video.alias("video"), view.alias("camera_view"), F.lit("t").alias("task"))
+    return validate.schema_violations(rows, "human_video", ["sample_id"])
+
+
+@query(rules_sql("SELECT page_id::VARCHAR AS sample_id, page_id FROM pages", "sample_id", {"modality: value": "page_id % 3 = 1", "task_type: missing": "page_id % 5 = 0", "task_type: value": "page_id % 5 = 1"}))
+def v1_web_multimodal(spark, d):
+    k = F.col("page_id")
+    rows = table(spark, d, "pages").select(k.cast("string").alias("sample_id"), F.when(k % 3 == 1, "sound").otherwise("image_text").alias("modality"), F.when(k % 5 == 1, "guess").when(k % 5 > 1, "vqa").alias("task_type"), F.lit("web").alias("source_dataset"), F.col("url").alias("source_url"))
+    return validate.schema_violations(rows, "web_multimodal", ["sample_id"])
+
+
+@query("WITH f AS (SELECT vec_id, unnest(range(len(embedding))) AS dim, unnest(embedding)::DOUBLE AS value FROM embeddings), s AS (SELECT dim, avg(value) AS m, stddev_pop(value) AS s FROM f GROUP BY dim) SELECT vec_id, dim::INT AS dim, value FROM f JOIN s USING (dim) WHERE abs(value - m) > 3 * s")
+def v5_value_outliers(spark, d):
+    return validate.outliers(table(spark, d, "embeddings"), ["vec_id"], "embedding", 3.0)
+
+
+@query("SELECT '{' || string_agg(to_json(doc_id::VARCHAR)::VARCHAR || ':' || to_json(lang)::VARCHAR, ',' ORDER BY doc_id::VARCHAR) || '}' AS json FROM documents")
+def k3_json_object(spark, d):
+    return files.json_object(table(spark, d, "documents").select("doc_id", "lang"), "doc_id", F.col("lang"))
+
+
+@query(f"WITH {ANNOTATED} SELECT episode_index, max(end_frame) + 1 AS num_frames, 'RMBench' AS source_dataset, NULL::INT AS fps FROM annotated GROUP BY 1")
+def s15_unlisted_episodes(spark, d):
+    return files.episodes_from_segments(annotated(spark, d))
+
+
+@query("SELECT doc_id AS episode_index, CASE WHEN doc_id % 3 = 2 THEN NULL WHEN doc_id % 3 = 1 THEN format('file:/r/data/other/episode_{:06d}.parquet', doc_id) ELSE format('file:/r/data/{}/chunk-000/episode_{:06d}.parquet', source, doc_id) END AS path FROM documents")
+def s17_episode_paths(spark, d):
+    t = table(spark, d, "documents").select(F.col("doc_id").alias("episode_index"), "source")
+    name = F.concat(S.episode_name(F.col("episode_index")), F.lit(".parquet"))
+    recorded = F.concat(F.lit("data/"), F.col("source"), F.lit("/chunk-000/"), name)
+    other = t.where("episode_index % 3 <> 2").select("episode_index", F.concat(F.lit("file:/r/data/other/"), name).alias("path"))
+    own = t.where("episode_index % 3 = 0").select("episode_index", F.concat(F.lit("file:/r/"), recorded).alias("path"))
+    return files.resolve_episode_paths(t.withColumn("parquet_path", recorded), own.union(other))
 
 
 @query("WITH f AS (SELECT conv_id AS episode_index, turn AS frame_index FROM conversations WHERE NOT (conv_id % 7 = 0 AND turn = 1)) SELECT episode_index, count(*) AS n, count(DISTINCT frame_index) AS d, min(frame_index) AS lo, max(frame_index) AS hi, min(frame_index) = 0 AND max(frame_index) + 1 = count(*) AND count(*) = count(DISTINCT frame_index) AS contiguous FROM f GROUP BY 1")

@@ -25,10 +25,38 @@ MEMORY = (
     "summary STRING, change_event_type ARRAY<STRING>, evidence_start_frame BIGINT, evidence_end_frame BIGINT, annotation_status STRING"
 )
 WINDOW_RESULTS = ("task_id STRING, window_id INT, vlm_json STRING")
-HUMAN_VIDEO = ("sample_id STRING, video STRUCT<path: STRING, frame_index: BIGINT>, task STRING, objects ARRAY<STRING>, annotation_status STRING")
-WEB_MULTIMODAL = ("sample_id STRING, modality STRING, task_type STRING, source_url STRING, text STRING, object_boxes ARRAY<STRUCT<object: STRING, bbox: ARRAY<DOUBLE>>>, attributes MAP<STRING,STRING>")
+HUMAN_VIDEO = (
+    "sample_id STRING, video_index BIGINT, clip_index BIGINT, frame_index BIGINT, timestamp DOUBLE, video STRUCT<path: STRING, frame_index: BIGINT>, camera_view STRING, task STRING, "
+    "subtask STRING, narration STRING, action_verb STRING, target_object STRING, objects ARRAY<STRING>, caption STRING, scene_type STRING, source_dataset STRING, source_url STRING, annotation_status STRING"
+)
+WEB_MULTIMODAL = (
+    "sample_id STRING, modality STRING, task_type STRING, image STRUCT<path: STRING>, video STRUCT<path: STRING, frame_index: BIGINT>, question STRING, answer STRING, caption STRING, "
+    "object_boxes ARRAY<STRUCT<object: STRING, bbox: ARRAY<DOUBLE>>>, attributes MAP<STRING,STRING>, objects ARRAY<STRING>, task STRING, subtask STRING, source_dataset STRING, source_url STRING, annotation_status STRING"
+)
 SOURCES = ("name STRING, robot_type STRING, fps INT, control_mode STRING, aliases ARRAY<STRING>")
 
+# What the five kinds of records must have, and which values columns may take.
+REQUIRED = {
+    "robot_episode": ["episode_index", "frame_index", "timestamp", "observation.state", "action", "task", "subtask", "robot_type", "control_mode", "quality", "speed_bin", "mistake", "success", "source_dataset"],
+    "segment_annotation": ["episode_index", "segment_index", "start_frame", "end_frame", "task", "subtask", "annotation_status"],
+    "memory_segment": ["episode_index", "segment_index", "start_frame", "end_frame", "task", "summary", "annotation_status"],
+    "human_video": ["sample_id", "video_index", "clip_index", "frame_index", "timestamp", "video.path", "camera_view", "task", "source_dataset"],
+    "web_multimodal": ["sample_id", "modality", "task_type", "source_dataset"],
+}
+ALLOWED = {
+    "robot_episode": {"control_mode": CONTROL_MODES, "domain": DOMAINS},
+    "segment_annotation": {"annotation_status": ["auto_placeholder", "vlm_pseudo", "human_labeled", "reviewed", "approved"]},
+    "memory_segment": {"annotation_status": ["auto", "vlm_pseudo", "human_labeled", "human_verified", "reviewed", "approved"]},
+    "human_video": {"camera_view": ["egocentric", "third_person"], "annotation_status": ["auto", "vlm_pseudo", "human_labeled", "reviewed", "approved"]},
+    "web_multimodal": {
+        "modality": ["image", "video", "text", "image_text", "video_text"],
+        "task_type": ["vqa", "captioning", "object_localization", "attribute_prediction", "video_captioning", "text_instruction"],
+        "annotation_status": ["auto", "vlm_pseudo", "human_labeled", "reviewed", "approved"],
+    },
+}
+RANGES = {"robot_episode": {"quality": (1, 5)}}
+RECORDS = {"robot_episode": FRAMES, "segment_annotation": SEGMENTS, "memory_segment": MEMORY, "human_video": HUMAN_VIDEO, "web_multimodal": WEB_MULTIMODAL}
+
 
 def fields(schema: str) -> list[tuple[str, str]]:
     """(name, type) of the columns of one of the schemas above."""

@@ -134,17 +134,42 @@ def mp4_info(data: bytes) -> tuple[float, int] | None:
     return None
 
 
+def moov(f, size: int) -> bytes:
+    """The one box of an mp4 that has its tracks, found by its neighbours' sizes: pixels are not read."""
+    at = 0
+    while at + 8 <= size:
+        f.seek(at)
+        head = f.read(16)
+        length, kind = struct.unpack_from(">I4s", head)
+        if length == 1 and len(head) == 16:
+            (length,) = struct.unpack_from(">Q", head, 8)
+        length = length or size - at
+        if length < 8:
+            return b""
+        if kind == b"moov":
+            f.seek(at)
+            return f.read(length)
+        at += length
+    return b""
+
+
 def _infos(batches):
+    from pyarrow import fs as filesystems
+
     for batch in batches:
-        got = [mp4_info(x.as_py()) for x in batch.column(1)]
+        got = []
+        for path in batch.column(0).to_pylist():
+            fs, at = filesystems.FileSystem.from_uri(path)
+            with fs.open_input_file(at) as f:
+                got.append(mp4_info(moov(f, f.size())))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g and g[0] for g in got], pa.float64()), pa.array([g and g[1] for g in got], pa.int64())], names=["path", "fps", "nframes"])
 
 
 def video_info(spark: SparkSession, root: str) -> DataFrame:
-    """path, fps (30 where it is not known), nframes of every mp4 below root; unreadable ones have no frames."""
+    """path, fps (30 where it is not known), nframes of every mp4 below root; unreadable ones have no frames. Files are listed without their contents, and tasks read headers only."""
     from tracewright.functions.scalar import fps_or_default
 
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.mp4").load(root).select("path", "content")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.mp4").load(root).select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"))
     return found.mapInArrow(_infos, "path string, fps double, nframes long").select("path", fps_or_default(F.col("fps")).alias("fps"), F.coalesce("nframes", F.lit(0)).alias("nframes"))
 
 
