@@ -351,10 +351,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         hot = with_text.where(F.exists("asked", lambda a: a["hot"])).mapInArrow(suffixes(length), f"s long, id {kind}, tkey long, first int")
         common = hot.groupBy("s").agg(F.count("*").alias("n")).where("n > 1").select("s")
         spans = spans.union(hot.join(common, "s", "left_semi").select("id", "tkey", "first", F.col("first").alias("last")))
+    # Written before the last join, so that the shuffles up to here can go.
+    spans = scratch.table(spans, "partly")
+    scratch.release()
     first = F.shiftright("place", 32).cast("int")
     sure = met.where("sure").select("id", "tkey", first.alias("first"), (first + F.col("place").bitwiseAND(0xFFFF).cast("int")).alias("last"))
     out = scratch.table(sure.union(spans).groupBy("id", "tkey").agg(F.array_sort(F.collect_set(F.struct("first", "last"))).alias("spans")), "spans")
-    for name in ("met", "asked"):
+    for name in ("met", "asked", "partly"):
         scratch.drop(name)
     scratch.release()
     return out
