@@ -396,3 +396,36 @@ def test_local_search_empties_bins():
         table, n = slots(last)
         assert n == sum(k for _, k in last) and len(table["size"])
     assert sum(n for _, n in swap_search([[(6, 2), 1], [(5, 4), 1], [(3,), 1]], 10)) == 2
+
+
+def test_grammars_on_withheld_credentials():
+    """Recall on credentials of the labelled kinds that were not learned from, and false alarms on the words of the smallest table."""
+    import duckdb
+    import pyarrow as arrow
+
+    import tracewright.llm.secrets as S
+
+    rng = np.random.default_rng(12)
+    pick = lambda chars, n: "".join(rng.choice(list(chars), n))
+    make = {1: lambda: "AKIA" + pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16), 2: lambda: pick("0123456789abcdef", 40)}
+    known = {k: [f() for _ in range(300)] for k, f in make.items()}
+    texts = [r[0] or "" for r in duckdb.sql("SELECT text FROM '/root/testdata/sf0.001/documents.parquet'").fetchall()]
+    scan = arrow.Table.from_batches(list(S.scanned([arrow.record_batch([arrow.array(texts)], names=["text"])]))).to_pydict()
+    counts = {int(v): n for kind, v, n in zip(*scan.values()) if kind < 0}
+    grammars = S.Grammars(known, counts)
+    for k, f in make.items():
+        assert sum(grammars.holds(f()) for _ in range(200)) >= 180, k
+    plain = {w for t in texts for w in re.findall(r"[A-Za-z]{8,}", t)}
+    assert len(plain) > 1000 and sum(map(grammars.holds, sorted(plain))) <= len(plain) // 100
+
+
+def test_many_spans_in_one_text_take_linear_time():
+    import time
+
+    import tracewright.llm.secrets as S
+
+    text = "token=abcdefgh1234 and-more-words-here " * 30_000
+    began = time.perf_counter()
+    spans = S.base_spans(text)
+    assert len(spans) == 30_000 and len(S.candidates(text, spans)) == 30_000
+    assert time.perf_counter() - began < 20
