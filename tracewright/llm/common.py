@@ -18,10 +18,13 @@ ARROW_BYTES = 16 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir.
 
-    Only where that is unset (a local session, as in tests) a temporary folder is set for it.
+    Only where that is unset in a local session, as in tests, a temporary folder is set for it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tracewright-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
