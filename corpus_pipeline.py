@@ -63,7 +63,7 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("near dedup", near), ("secret scans", secrets), ("best-fit packing", packing)]
 
-#: Masking by inferred grammars and tokenizing are not expressible in SQL; tests hold run() against brute force.
+#: Masking by inferred grammars and tokenizing are not expressible in SQL; tests compare run() with its stages and hold the operators against brute force.
 ORACLE_SQL = None
 
 
