@@ -196,6 +196,27 @@ def test_tool_calls_of_odd_json(spark):
         json.loads(r.json, parse_constant=lambda x: pytest.fail(x))
 
 
+def test_levels_of_calls(spark):
+    """Chains, cycles with calls that lead into them, and calls of many references, against a plain search."""
+    rng = np.random.default_rng(14)
+    refs = {("chain", k): [k - 1] if k else [] for k in range(40)}
+    refs |= {("both", k): [k - 1, 0] if k > 1 else [0] * k for k in range(20)}
+    refs |= {("cycle", k): [(k + 1) % 5] for k in range(5)} | {("cycle", 5): [2], ("cycle", 6): [5, 7], ("cycle", 7): [], ("cycle", 8): [8]}
+    refs |= {(None, k): [x for x in range(k) if rng.random() < 0.15] for k in range(30)}
+    refs |= {("tangle", k): [int(x) for x in set(rng.integers(0, 40, int(rng.integers(0, 3))))] for k in range(30)}
+
+    def level(c, k, path=()):
+        if k in path:
+            return None
+        below = [level(c, x, (*path, k)) for x in refs[c, k] if (c, x) in refs]
+        return None if None in below else max(below, default=-1) + 1
+
+    rows = [(c, k, "assistant", call(f"i{k}", "search", {"query": "q", "of": [{"$ref": f"i{x}"} for x in own]})) for (c, k), own in refs.items()]
+    out = link_tool_calls(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string").repartition(3), TOOLS)
+    got = {(r.conv_id, r.turn): r.level for r in out.where("kind = 'call'").collect()}
+    assert got == {(c, k): level(c, k) for c, k in refs}
+
+
 def test_schema_checks():
     s = {"type": "object", "required": ["a"], "properties": {"a": {"type": "integer"}, "b": {"type": "array", "items": {"enum": [1, 2]}}}, "additionalProperties": False}
     assert fits({"a": 1, "b": [2]}, s) and not fits({"a": True}, s) and not fits({"b": []}, s) and not fits({"a": 1, "c": 1}, s) and not fits({"a": 1, "b": [3]}, s)

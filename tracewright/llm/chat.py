@@ -117,7 +117,8 @@ def link_tool_calls(turns: DataFrame, schemas: dict[str, dict] | None = None, co
     equal text. Order by (conv_id, turn, level, place).
 
     Joins are by hash of (conversation, identifier), so a conversation of a third of all rows spreads over many tasks;
-    levels are found for all conversations at once, one join a level. Null texts are empty messages; null
+    levels are found for all conversations at once; a chain of n calls takes log2(n) rounds, and only calls that wait for
+    two or more, one behind the other, a round each. Null texts are empty messages; null
     conversations are one conversation, as equal keys; repeated rows repeat their messages, and their calls count as
     repeated identifiers. An empty table gives an empty result.
     """
@@ -157,26 +158,44 @@ def link_tool_calls(turns: DataFrame, schemas: dict[str, dict] | None = None, co
 
 
 def _levels(said: DataFrame, first: DataFrame, scratch: Scratch) -> DataFrame:
-    """(conv, call_id, level) by layers: a call is done once all calls that it refers to are."""
+    """(conv, call_id, level): 0 for a call that refers to none, else one more than the highest call referred to.
+
+    A row (call_id, ref, w) says that the level is w + ref's or more, without ref that it is w or more. A round puts
+    the levels found last in place of their calls; a call without a ref left has its level. A ref that waits for one
+    call only gives way to that call, so distances double and a chain of n calls takes log2(n) rounds; a call has no
+    more rows than it has references, and one. Further than a conversation has calls leads only a cycle.
+    """
     known = first.where("kind = 'call'").select("conv", "call_id", F.array_distinct(F.regexp_extract_all("one.body", F.lit(REFERENCE))).alias("refs"))
     known = scratch.table(known, "known")
-    edges = known.select("conv", "call_id", F.explode("refs").alias("ref"))
     there = known.select(F.col("conv").alias("k_conv"), F.col("call_id").alias("k_id"))
-    edges = scratch.table(edges.join(there, F.col("conv").eqNullSafe(F.col("k_conv")) & (F.col("ref") == F.col("k_id"))).select("conv", "call_id", "ref"), "edges")
+
+    def on(conv: str, call: str, name: str):
+        return F.col("conv").eqNullSafe(F.col(conv)) & (F.col(name) == F.col(call))
+
+    pairs = known.select("conv", "call_id", F.explode("refs").alias("ref")).join(there, on("k_conv", "k_id", "ref"))
+    edges = scratch.table(pairs.select("conv", "call_id", "ref", F.lit(1).cast("long").alias("w")), "edges-0")
+    longest = known.groupBy("conv").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     waits = edges.select(F.col("conv").alias("e_conv"), F.col("call_id").alias("e_id")).distinct()
-    on = F.col("conv").eqNullSafe(F.col("e_conv")) & (F.col("call_id") == F.col("e_id"))
-    done = known.join(waits, on, "left_anti").select("conv", "call_id", F.lit(0).alias("level"))
-    k = 0
+    layer = scratch.table(known.join(waits, on("e_conv", "e_id", "call_id"), "left_anti").select("conv", "call_id", F.lit(0).cast("long").alias("level")), "layer-0")
+    done, k = layer, 0
     while not edges.isEmpty():
-        done = scratch.table(done, f"done-{k}")
-        ready = done.select(F.col("conv").alias("d_conv"), F.col("call_id").alias("d_id"), "level")
-        met = edges.join(ready, F.col("conv").eqNullSafe(F.col("d_conv")) & (F.col("ref") == F.col("d_id")), "left")
-        layer = met.groupBy("conv", "call_id").agg(F.count("*").alias("n"), F.count("level").alias("m"), F.max("level").alias("top")).where("n = m").select("conv", "call_id", (F.col("top") + 1).alias("level"))
-        layer = scratch.table(layer, f"layer-{k}")
-        if layer.isEmpty():
-            break
-        gone = layer.select(F.col("conv").alias("e_conv"), F.col("call_id").alias("e_id"))
-        edges = scratch.table(edges.join(gone, on, "left_anti"), f"edges-{k}")
-        done = done.union(layer)
         k += 1
-    return done
+        last = layer.select(F.col("conv").alias("d_conv"), F.col("call_id").alias("d_id"), "level")
+        met = edges.join(last, on("d_conv", "d_id", "ref"), "left")
+        met = met.select("conv", "call_id", F.when(F.col("level").isNull(), F.col("ref")).alias("ref"), (F.col("w") + F.coalesce("level", F.lit(0))).alias("w"))
+        met = met.groupBy("conv", "call_id", "ref").agg(F.max("w").alias("w"))
+        calls = met.groupBy(F.col("conv").alias("c_conv"), F.col("call_id").alias("c_id")).agg(F.count("ref").alias("open"))
+        met = scratch.table(met.join(calls, on("c_conv", "c_id", "call_id")).drop("c_conv", "c_id"), f"met-{k}")
+        layer = scratch.table(met.where("open = 0").select("conv", "call_id", F.col("w").alias("level")), f"layer-{k}")
+        via = met.where("open = 1").select(F.col("conv").alias("v_conv"), F.col("call_id").alias("v_id"), F.col("ref").alias("v_ref"), F.col("w").alias("v_w"))
+        on_from = met.where("open > 0").join(via, on("v_conv", "v_id", "ref"), "left")
+        moved = F.col("v_id").isNotNull()
+        on_from = on_from.select("conv", "call_id", F.when(moved, F.col("v_ref")).otherwise(F.col("ref")).alias("ref"), (F.col("w") + F.coalesce("v_w", F.lit(0))).alias("w"), moved.alias("moved"))
+        on_from = scratch.table(on_from.groupBy("conv", "call_id", "ref").agg(F.max("w").alias("w"), F.max("moved").alias("moved")), f"moved-{k}")
+        cyclic = on_from.where((F.col("w") > longest) & F.col("ref").isNotNull()).select(F.col("conv").alias("e_conv"), F.col("call_id").alias("e_id")).distinct()
+        edges = scratch.table(on_from.join(cyclic, on("e_conv", "e_id", "call_id"), "left_anti"), f"edges-{k}")
+        done = done.union(layer)
+        if layer.isEmpty() and edges.where("moved").isEmpty():
+            break
+        edges = edges.drop("moved")
+    return done.withColumn("level", F.col("level").cast("int"))
