@@ -1,6 +1,5 @@
 """SentencePiece, tool calls, automata, the graph and the pipeline."""
 
-import hashlib
 import json
 import struct
 import zlib
@@ -269,7 +268,6 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     again = P.run(spark, d)
     key = lambda df: sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in df.collect())
     assert key(again) == key(docs)
-    assert hashlib.sha256(repr(key(docs)).encode()).hexdigest()
 
 
 def test_pipeline_keeps_one_of_many_copies(spark, tmp_path):
